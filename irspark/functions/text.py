@@ -98,6 +98,8 @@ def run_ends(sorted_tokens) -> Column:
     element of every run of equal tokens.  Lambdas touch only their own variables."""
     s = _col(sorted_tokens)
     nxt = F.concat(F.slice(s, 2, F.greatest(F.size(s) - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
+    # an empty input must give no run (arrays_zip would pad it to one NULL pair)
+    s = F.when(F.size(s) > 0, s).otherwise(F.lit(None).cast("array<string>"))
     return F.filter(
         F.transform(F.arrays_zip(s.alias("a"), nxt.alias("b")),
                     lambda p, i: F.struct(p["a"].alias("term"), i.alias("e"),
