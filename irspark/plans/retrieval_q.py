@@ -100,19 +100,21 @@ def q_bm25_candidates(spark, sf):
                     F.md5("doc_text").alias("doc_text_md5"), "bm25_1")
 
 
-@register("tfidf_topk", f"""WITH dw AS (SELECT CAST(doc_id AS VARCHAR) doc_id, {WS_TOK.format(c='text')} toks FROM documents),
-qw AS (SELECT CAST(item_id AS VARCHAR) query_id, {WS_TOK.format(c='text')} toks FROM benchmark),
-p AS (SELECT doc_id, term, count(*) tf FROM (SELECT doc_id, unnest(toks) term FROM dw) GROUP BY ALL),
-n AS (SELECT count(*)::DOUBLE n FROM dw),
-idf AS (SELECT term, ln((1 + n) / (1 + count(*))) + 1 idf FROM p, n GROUP BY term, n),
-dn AS (SELECT doc_id, sqrt(sum((tf * idf) ^ 2)) dnorm FROM p JOIN idf USING (term) GROUP BY ALL),
-q AS (SELECT query_id, term, count(*) qtf FROM (SELECT query_id, unnest(toks) term FROM qw) GROUP BY ALL),
-qv AS (SELECT query_id, term, qtf * idf qw, idf FROM q JOIN idf USING (term)),
-qn AS (SELECT query_id, sqrt(sum(qw ^ 2)) qnorm FROM qv GROUP BY ALL),
-s AS (SELECT qv.query_id, p.doc_id, sum(qv.qw * p.tf * qv.idf) / (max(qn.qnorm) * max(dn.dnorm)) score
-      FROM qv JOIN p USING (term) JOIN qn USING (query_id) JOIN dn USING (doc_id) GROUP BY ALL),
-{S.topk('s', 20)}
-SELECT * FROM run""")
+TFIDF_CTES = f"""tdw AS (SELECT CAST(doc_id AS VARCHAR) doc_id, {WS_TOK.format(c='text')} toks FROM documents),
+tqw AS (SELECT CAST(item_id AS VARCHAR) query_id, {WS_TOK.format(c='text')} toks FROM benchmark),
+tp AS (SELECT doc_id, term, count(*) tf FROM (SELECT doc_id, unnest(toks) term FROM tdw) GROUP BY ALL),
+tn AS (SELECT count(*)::DOUBLE n FROM tdw),
+tidf AS (SELECT term, ln((1 + n) / (1 + count(*))) + 1 idf FROM tp, tn GROUP BY term, n),
+tdn AS (SELECT doc_id, sqrt(sum((tf * idf) ^ 2)) dnorm FROM tp JOIN tidf USING (term) GROUP BY ALL),
+tq AS (SELECT query_id, term, count(*) qtf FROM (SELECT query_id, unnest(toks) term FROM tqw) GROUP BY ALL),
+tqv AS (SELECT query_id, term, qtf * idf qw, idf FROM tq JOIN tidf USING (term)),
+tqn AS (SELECT query_id, sqrt(sum(qw ^ 2)) qnorm FROM tqv GROUP BY ALL),
+ts AS (SELECT tqv.query_id, tp.doc_id, sum(tqv.qw * tp.tf * tqv.idf) / (max(tqn.qnorm) * max(tdn.dnorm)) score
+      FROM tqv JOIN tp USING (term) JOIN tqn USING (query_id) JOIN tdn USING (doc_id) GROUP BY ALL),
+{S.topk('ts', 20, 'tfr')}"""
+
+
+@register("tfidf_topk", f"WITH {TFIDF_CTES} SELECT * FROM tfr")
 def q_tfidf_topk(spark, sf):
     return lx.tfidf_retrieve(fx.docs(spark, sf), fx.queries(spark, sf), 20, tokenizer=T.tok_whitespace)
 
