@@ -47,8 +47,11 @@ def describe_letor(df: DataFrame) -> DataFrame:
     per_q = df.groupBy("qid").agg(F.count(F.lit(1)).alias("n"))
     q = per_q.agg(F.count(F.lit(1)).alias("n_queries"), F.min("n").alias("docs_min"), F.avg("n").alias("docs_avg"),
                   F.max("n").alias("docs_max"))
+    # label histogram as text 'label:count,...' (few labels, so one small collect_list)
     labels = (df.groupBy("label").agg(F.count(F.lit(1)).alias("c"))
-              .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "c")))).alias("label_hist")))
+              .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("label", "c"))),
+                                            lambda e: F.concat(e["label"].cast("string"), F.lit(":"), e["c"].cast("string"))),
+                                ",").alias("label_hist")))
     fe = df.select(F.explode(F.map_keys("features")).alias("k"))
     nf = fe.agg(F.countDistinct("k").alias("n_features"), F.count(F.lit(1)).alias("n_values"))
     rows = df.agg(F.count(F.lit(1)).alias("n_rows"))
