@@ -76,19 +76,24 @@ def bm25_matched(index: Index, qterms: DataFrame, k1: float = 1.2, b: float = 0.
     return m.select("query_id", "doc_id", "term", contrib.alias("contribution"))
 
 
-def _fill_zero_docs(index: Index, queries_ids: DataFrame, scores: DataFrame, k: int) -> DataFrame:
+def _fill_zero_docs(index: Index, queries_ids: DataFrame, top: DataFrame, k: int) -> DataFrame:
     """Reference ranks every document, so a query with fewer than k matches is padded with
-    score-0 documents (lowest doc ids first).  Only queries short of k matches get a pad,
-    drawn from the first 2k doc ids (TakeOrdered, bounded), minus their own matches."""
-    counts = scores.groupBy("query_id").agg(F.count(F.lit(1)).alias("m"))
+    score-0 documents (lowest doc ids first) up to min(k, N) rows.
+
+    ``top`` is the already cut top-k run (|Q| x k rows, checkpointed).  A query short of k
+    rows there has ALL its matches in it, so the pad is: the first 2k doc ids (TakeOrdered,
+    bounded) minus that query's rows.  Only short queries get a pad; the final cut is a
+    second top-k over at most |Q| x 3k rows.  Exact while no top-k score is negative (a
+    negative Okapi idf floor needs a corpus where the mean idf is below zero)."""
+    counts = top.groupBy("query_id").agg(F.count(F.lit(1)).alias("m"))
     short = (queries_ids.join(counts, "query_id", "left")
              .filter(F.coalesce(F.col("m"), F.lit(0)) < k).select("query_id"))
     first_docs = index.doc_len.select("doc_id").orderBy("doc_id").limit(2 * k)
-    # product of the short queries with a 2k-row constant table: bounded by output size.
+    # short queries x a 2k-row constant table: bounded by the output size (|Q| x 2k)
     pad = (short.crossJoin(F.broadcast(first_docs))
-           .join(scores.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_anti")
+           .join(top.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_anti")
            .withColumn("score", F.lit(0.0)))
-    return scores.unionByName(pad)
+    return ranked_run(top.select("query_id", "doc_id", "score").unionByName(pad), k)
 
 
 def bm25_retrieve(docs_or_index, queries: DataFrame, k: int = 10, tokenizer=None,
@@ -103,10 +108,11 @@ def bm25_retrieve(docs_or_index, queries: DataFrame, k: int = 10, tokenizer=None
     qterms = query_terms(queries, tokenizer)
     m = bm25_matched(index, qterms, k1, b, epsilon)
     scores = m.groupBy("query_id", "doc_id").agg(F.sum("contribution").alias("score"))
-    if fill:
-        qids = queries.select(id_str("query_id").alias("query_id")).distinct()
-        scores = _fill_zero_docs(index, qids, scores, k)
-    return ranked_run(scores, k)
+    top = ranked_run(scores, k)
+    if not fill:
+        return top
+    qids = queries.select(id_str("query_id").alias("query_id")).distinct()
+    return _fill_zero_docs(index, qids, top.checkpoint(eager=True), k)
 
 
 def bm25_score_pairs(pairs: DataFrame, docs_or_index, tokenizer=None, k1: float = 1.2, b: float = 0.75,
@@ -181,10 +187,11 @@ def tfidf_retrieve(docs_or_index, queries: DataFrame, k: int = 10, tokenizer=Non
                                               F.max("qnorm").alias("qnorm"))
     scores = (dot.join(norms, "doc_id")
               .select("query_id", "doc_id", F.try_divide(F.col("dot"), F.col("qnorm") * F.col("dnorm")).alias("score")))
-    if fill:
-        qids = queries.select(id_str("query_id").alias("query_id")).distinct()
-        scores = _fill_zero_docs(index, qids, scores, k)
-    return ranked_run(scores, k)
+    top = ranked_run(scores, k)
+    if not fill:
+        return top
+    qids = queries.select(id_str("query_id").alias("query_id")).distinct()
+    return _fill_zero_docs(index, qids, top.checkpoint(eager=True), k)
 
 
 # ------------------------------------------------------------- sparse BM25 term weights
