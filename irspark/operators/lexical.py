@@ -275,3 +275,36 @@ def bm25_fields(docs: DataFrame, queries: DataFrame, fields: dict[str, str], wei
         allm = allm.unionByName(p)
     scores = allm.groupBy("query_id", "doc_id").agg(F.sum("c").alias("score"))
     return ranked_run(scores, k)
+
+
+# ------------------------------------------------------------------ paragraph similarity
+
+def similar_pairs(paras: DataFrame, k: int = 3, max_df: int = 200, group_col: str | None = None,
+                  scope: str = "within", tokenizer=None, id_col: str = "para_id") -> DataFrame:
+    """Most similar paragraphs by TF-IDF cosine (scikit-learn weighting, L2 over the whole
+    paragraph), top-k partners per paragraph.
+
+    Similarity is accumulated over terms with df <= ``max_df``; more frequent terms act as
+    stop words.  Every term group therefore pairs at most max_df paragraphs, so the
+    inverted-index self-join is bounded by max_df^2 rows per term whatever the corpus size.
+    ``scope`` 'within' keeps pairs of the same ``group_col`` value, 'across' pairs of different
+    values.  -> (para_a, para_b, score, rank)."""
+    g = [group_col] if group_col else []
+    src = paras.select(F.col(id_col).alias("doc_id"), "text", *g)
+    idx = build_index(src.select("doc_id", "text"), tokenizer)
+    idf, norms = tfidf_weights(idx)
+    w = (idx.postings.join(idf, "term").join(norms, "doc_id")
+         .select("doc_id", "term", (F.col("tf") * F.col("idf") / F.col("dnorm")).alias("w")))
+    rare = idx.term_df.filter(F.col("df") <= max_df).select("term")
+    w = w.join(rare, "term", "left_semi")
+    if g:
+        w = w.join(src.select("doc_id", *g), "doc_id")
+    a = w.select(F.col("doc_id").alias("para_a"), "term", F.col("w").alias("wa"), *[F.col(c).alias("ga") for c in g])
+    b = w.select(F.col("doc_id").alias("para_b"), "term", F.col("w").alias("wb"), *[F.col(c).alias("gb") for c in g])
+    cond = (F.col("para_a") != F.col("para_b"))
+    if g:
+        cond = cond & ((F.col("ga") == F.col("gb")) if scope == "within" else (F.col("ga") != F.col("gb")))
+    j = a.join(b, "term").filter(cond)
+    s = j.groupBy("para_a", "para_b").agg(F.sum(F.col("wa") * F.col("wb")).alias("score"))
+    s = s.withColumn("score", round6("score"))
+    return top_k(s, ["para_a"], [F.col("score").desc(), F.col("para_b").asc()], k)
