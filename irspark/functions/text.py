@@ -70,6 +70,7 @@ def tok_chain(*, punct: bool = True, stopwords: Iterable[str] | None = None,
             arr = F.transform(arr, lambda x: F.coalesce(F.try_element_at(m, x), x))
         return arr
 
+    tok._irspark_key = f"tok_chain(punct={punct},stopwords={sorted(set(sw))},mapping={sorted(mp.items())})"
     return tok
 
 

@@ -9,10 +9,12 @@ Corpus scalars (N, total length, avgdl) are a one-row frame joined by broadcast.
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,13 +44,31 @@ class Index:
         return load_index(spark, path)
 
 
+def _table_name(path: str) -> str:
+    return "irspark_doc_terms_" + hashlib.sha1(path.encode("utf-8")).hexdigest()[:16]
+
+
+def _doc_terms(spark, path: str, n_buckets: int | None):
+    """The forward index as a table bucketed by doc_id (so joins and (query, doc) sums keep
+    the doc partitioning); registered in this session's catalog on first use."""
+    name = _table_name(path)
+    if n_buckets and not spark.catalog.tableExists(name):
+        schema = spark.read.parquet(f"{path}/doc_terms").schema
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (doc_id) INTO {int(n_buckets)} BUCKETS "
+                  f"LOCATION '{path}/doc_terms'")
+    return spark.table(name) if n_buckets else spark.read.parquet(f"{path}/doc_terms")
+
+
 def load_index(spark, path: str) -> Index:
-    t = spark.read.parquet(f"{path}/doc_terms")
+    stats = spark.read.parquet(f"{path}/stats")
+    nb = stats.select("n_buckets").first()["n_buckets"] if "n_buckets" in stats.columns else None
+    t = _doc_terms(spark, path, nb)
     return Index(
         postings=postings_from_terms(t),
         doc_len=t.select("doc_id", "dl"),
         term_df=spark.read.parquet(f"{path}/term_df"),
-        stats=spark.read.parquet(f"{path}/stats"),
+        stats=stats,
     )
 
 
@@ -81,32 +101,85 @@ def postings_from_tokens(tokens: DataFrame, id_col: str = "doc_id", tokens_col:
     return postings_from_terms(term_arrays(tokens, id_col, tokens_col, keep), id_col, keep)
 
 
+def tokenizer_key(tokenizer) -> str | None:
+    """A stable name for a tokenizer, or None when it has none (lambdas, closures without
+    an ``_irspark_key``): such indexes are never reused."""
+    tok = resolve_tokenizer(tokenizer)
+    key = getattr(tok, "_irspark_key", None)
+    if key:
+        return str(key)
+    qn = getattr(tok, "__qualname__", "")
+    if not qn or "<lambda>" in qn or "<locals>" in qn:
+        return None
+    return f"{getattr(tok, '__module__', '')}.{qn}"
+
+
+def index_key(docs: DataFrame, tokenizer, id_col: str, text_col: str) -> str | None:
+    """Reuse key: the documents' logical plan (``semanticHash``), their input files and the
+    tokenizer.  Files rewritten in place under the same names need ``reuse=False``."""
+    tk = tokenizer_key(tokenizer)
+    files = sorted(docs.inputFiles())
+    if tk is None or not files:  # in-memory frames have no stable identity: never reused
+        return None
+    files = ",".join(files)
+    raw = f"v3|{docs.semanticHash()}|{files}|{tk}|{id_col}|{text_col}"
+    return hashlib.sha1(raw.encode("utf-8")).hexdigest()[:24]
+
+
+def _try_load(spark, path: str) -> Index | None:
+    try:
+        return load_index(spark, path)
+    except AnalysisException:
+        return None
+
+
 def build_index(docs: DataFrame, tokenizer=None, id_col: str = "doc_id", text_col: str = "text",
-                materialize: bool = True, path: str | None = None) -> Index:
+                materialize: bool = True, path: str | None = None, reuse: bool = True,
+                num_buckets: int | None = None) -> Index:
     """Tokenise once and derive postings, lengths, document frequencies and corpus stats.
 
     With ``materialize`` (default) the per-document term arrays are written once as parquet
     under the shared checkpoint folder (``spark.checkpoint.dir``); postings and lengths are
     map-side views over that table, and df / corpus stats are written next to it.  So the
     documents are scanned and tokenised exactly once, later joins read the written index, and
-    lineage is cut (a lost executor never re-runs the tokenizer).  ``materialize=False`` keeps
-    everything lazy.
+    lineage is cut (a lost executor never re-runs the tokenizer).
+
+    The forward index is written as a table bucketed by ``doc_id`` (``num_buckets``, default
+    the shuffle-partition count; on a cluster size it to about input bytes / 256 MB).
+
+    With ``reuse`` an index already written for the same documents and tokenizer (same
+    logical plan, input files and tokenizer name) is read back instead of rebuilt -- build
+    once, query many times.  ``materialize=False`` keeps everything lazy.
     """
     require_columns(docs, {id_col, text_col}, "docs")
+    spark = docs.sparkSession
+    if materialize and path is None and reuse:
+        key = index_key(docs, tokenizer, id_col, text_col)
+        if key is not None:
+            path = os.path.join(spark.conf.get("spark.checkpoint.dir"), "irspark-indexes", key)
+            found = _try_load(spark, path)
+            if found is not None:
+                return found
     toks = tokenize(docs, id_col, text_col, tokenizer)
     if id_col != "doc_id":
         toks = toks.withColumnRenamed(id_col, "doc_id")
     terms = term_arrays(toks)
     if not materialize:
         return _derive(postings_from_terms(terms), terms.select("doc_id", "dl"))
-    spark = docs.sparkSession
     if path is None:
-        path = os.path.join(spark.conf.get("spark.checkpoint.dir"), f"index-{uuid.uuid4().hex}")
-    terms.write.mode("overwrite").parquet(f"{path}/doc_terms")
-    t = spark.read.parquet(f"{path}/doc_terms")
+        path = os.path.join(spark.conf.get("spark.checkpoint.dir"), "irspark-indexes", uuid.uuid4().hex)
+    nb = int(num_buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                                spark.sparkContext.defaultParallelism))
+    # one shuffle at build time (rows of the forward index to their doc_id bucket, one file
+    # per bucket) so that no query pays a (query, doc) aggregation shuffle later
+    name = _table_name(path)
+    (terms.repartition(nb, "doc_id").write.mode("overwrite").bucketBy(nb, "doc_id")
+     .option("path", f"{path}/doc_terms").saveAsTable(name))
+    t = spark.table(name)
     idx = _derive(postings_from_terms(t), t.select("doc_id", "dl"))
     idx.term_df.write.mode("overwrite").parquet(f"{path}/term_df")
-    idx.stats.write.mode("overwrite").parquet(f"{path}/stats")
+    # stats last: its presence marks a complete index for reuse
+    idx.stats.withColumn("n_buckets", F.lit(nb)).write.mode("overwrite").parquet(f"{path}/stats")
     return load_index(spark, path)
 
 
