@@ -28,6 +28,20 @@ class Index:
     doc_len: DataFrame    # doc_id STRING, dl BIGINT  (every document, empty ones included)
     term_df: DataFrame    # term STRING, df BIGINT
     stats: DataFrame      # one row: n_docs, total_len, avgdl, n_terms, mean_okapi_idf
+    path: str | None = None  # where the index is written (None for a lazy index)
+
+    def derived(self, name: str, build) -> DataFrame:
+        """A per-corpus table derived from this index (e.g. TF-IDF document norms), written
+        next to the index the first time and read back afterwards."""
+        if self.path is None:
+            return build(self)
+        spark = self.postings.sparkSession
+        target = f"{self.path}/derived_{name}"
+        try:
+            return spark.read.parquet(target)
+        except AnalysisException:
+            build(self).write.mode("overwrite").parquet(target)
+            return spark.read.parquet(target)
 
     def materialize(self, path: str | None = None) -> "Index":
         """Write a lazily built index (postings, lengths, df, stats) and read it back."""
@@ -69,6 +83,7 @@ def load_index(spark, path: str) -> Index:
         doc_len=t.select("doc_id", "dl"),
         term_df=spark.read.parquet(f"{path}/term_df"),
         stats=stats,
+        path=path,
     )
 
 

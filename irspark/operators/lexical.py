@@ -166,9 +166,14 @@ def tfidf_weights(index: Index) -> tuple[DataFrame, DataFrame]:
     Returns (idf table, document norms)."""
     idf = (attach_scalars(index.term_df, index.stats.select("n_docs"))
            .select("term", (F.ln((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1).alias("idf")))
-    norms = (index.postings.join(idf, "term")
-             .groupBy("doc_id").agg(F.sqrt(F.sum((F.col("tf") * F.col("idf")) ** 2)).alias("dnorm")))
-    return idf, norms
+
+    def norms_of(ix):
+        # postings x full-vocabulary idf, summed per document (bucketed by doc_id: no shuffle
+        # for the sum); corpus-level, so it is written once next to the index
+        return (ix.postings.join(idf, "term")
+                .groupBy("doc_id").agg(F.sqrt(F.sum((F.col("tf") * F.col("idf")) ** 2)).alias("dnorm")))
+
+    return idf, index.derived("tfidf_norms", norms_of)
 
 
 def tfidf_retrieve(docs_or_index, queries: DataFrame, k: int = 10, tokenizer=None, fill: bool = True) -> DataFrame:
