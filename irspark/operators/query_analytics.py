@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import id_str
 from .common import top_k
+from .ranking import global_rank
 
 
 def query_stats(queries: DataFrame, qrels: DataFrame, tokenizer) -> DataFrame:
@@ -21,12 +22,21 @@ def query_stats(queries: DataFrame, qrels: DataFrame, tokenizer) -> DataFrame:
 
 
 def query_difficulty(per_query: DataFrame, metric: str, bands: int = 4) -> DataFrame:
-    """Quantile band (1 = hardest) and hardness rank of every query by a per-query metric.
-    The per-query table has one row per query, so ordering it is a small job."""
+    """Quantile band (1 = hardest, SQL ``ntile`` semantics) and hardness rank of every query
+    by a per-query metric.  Ranked with the distributed rank helper, not a one-partition
+    window, so a very large query set is never ordered inside one task."""
     m = F.col(f"`{metric}`")
-    w = Window.orderBy(m.asc(), F.col("query_id").asc())
-    return per_query.select("query_id", m.alias("value"), F.ntile(bands).over(w).alias("band"),
-                            F.row_number().over(w).alias("hard_rank"))
+    base = per_query.select("query_id", m.alias("value"))
+    r = global_rank(base, [], ["value", "query_id"], "hard_rank")
+    n = base.agg(F.count(F.lit(1)).alias("_n"))
+    r = r.crossJoin(F.broadcast(n))  # one-row count
+    # ntile: the first (n mod b) bands hold q + 1 rows, the others q rows (q = n div b)
+    q = F.floor(F.col("_n") / bands)
+    rem = F.col("_n") % bands
+    big = rem * (q + 1)
+    i = F.col("hard_rank")
+    band = F.when(i <= big, F.floor((i - 1) / (q + 1)) + 1).otherwise(F.floor((i - big - 1) / q) + rem + 1)
+    return r.select("query_id", "value", band.cast("int").alias("band"), F.col("hard_rank").cast("int").alias("hard_rank"))
 
 
 def metric_corr(df: DataFrame, pairs) -> DataFrame:

@@ -20,3 +20,18 @@ def test_global_rank_matches_row_number(spark):
     for g, items in by.items():
         items.sort()
         assert [x[1] for x in items] == list(range(1, len(items) + 1))
+
+
+def test_query_difficulty_bands_equal_ntile(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from irspark.operators.query_analytics import query_difficulty
+
+    for n in (1, 3, 4, 5, 9, 13):
+        df = spark.createDataFrame([(f"q{i:02d}", float(i % 4)) for i in range(n)], "query_id string, m double")
+        got = {r["query_id"]: (r["band"], r["hard_rank"]) for r in query_difficulty(df, "m", 4).collect()}
+        w = Window.orderBy(F.col("m"), F.col("query_id"))
+        exp = {r["query_id"]: (r["b"], r["r"]) for r in
+               df.select("query_id", F.ntile(4).over(w).alias("b"), F.row_number().over(w).alias("r")).collect()}
+        assert got == exp
