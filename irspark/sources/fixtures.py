@@ -89,7 +89,7 @@ def qrels(spark, sf_dir) -> DataFrame:
 
 
 def vectors(spark, sf_dir) -> DataFrame:
-    e = table(spark, sf_dir, "embeddings")
+    e = spread(table(spark, sf_dir, "embeddings"))
     return e.select(id_str("vec_id").alias("item_id"), "embedding", "label")
 
 
@@ -112,7 +112,7 @@ def vector_qrels(spark, sf_dir, n_queries: int = 20) -> DataFrame:
 
 def letor_lines(spark, sf_dir) -> DataFrame:
     """IMAT-style ranking-data lines derived from lineitem: ``label 1:v 2:v # qid``."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))
     line = F.concat(F.floor(F.col("l_quantity") / 17).cast("int").cast("string"), F.lit(" 1:"),
                     F.col("l_quantity").cast("int").cast("string"), F.lit(" 2:"),
                     F.col("l_linenumber").cast("string"), F.lit(" # "), F.col("l_orderkey").cast("string"))
@@ -120,7 +120,7 @@ def letor_lines(spark, sf_dir) -> DataFrame:
 
 
 def qa_rows(spark, sf_dir) -> DataFrame:
-    c = table(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
+    c = spread(table(spark, sf_dir, "conversations")).filter(F.col("role") == "assistant")
     return c.select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("question_id"),
                     F.concat(F.lit("m"), (F.col("conv_id") % 2).cast("string")).alias("model"),
                     F.col("text").alias("prediction"),
@@ -133,6 +133,6 @@ def page_views(spark, sf_dir) -> DataFrame:
 
 
 def page_links(spark, sf_dir) -> DataFrame:
-    p = table(spark, sf_dir, "pages")
+    p = spread(table(spark, sf_dir, "pages"))
     return p.select(id_str("page_id").alias("page_id"),
                     F.explode(F.regexp_extract_all("html", F.lit('href="([^"]+)"'), 1)).alias("target"))
