@@ -115,6 +115,20 @@ def run_lengths(ends) -> Column:
     return F.zip_with(e, prev, lambda x, pe: F.struct(x["term"].alias("term"), (x["e"] - pe).cast("bigint").alias("tf")))
 
 
+def first_positions(tokens) -> Column:
+    """``array<struct<term, pos>>``: every distinct token with the 0-based position of its
+    first occurrence, computed in-row (sort (term, pos) pairs, keep run starts)."""
+    t = _col(tokens)
+    n = F.size(t)
+    pairs = F.sort_array(F.arrays_zip(t.alias("term"), F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))).alias("pos")))
+    prev = F.concat(F.array(F.lit(None).cast("string")), F.slice(pairs["term"], 1, F.greatest(n - 1, F.lit(0))))
+    firsts = F.filter(F.zip_with(pairs, prev, lambda p, q: F.struct(p["term"].alias("term"), p["pos"].alias("pos"),
+                                                                    (q.isNull() | (p["term"] != q)).alias("f"))),
+                      lambda x: x["f"])
+    out = F.transform(firsts, lambda x: F.struct(x["term"].alias("term"), x["pos"].alias("pos")))
+    return F.when(n > 0, out).otherwise(F.array().cast("array<struct<term:string,pos:int>>"))
+
+
 def term_counts(tokens) -> Column:
     """Per-row term frequencies as one expression (for small inputs; the DataFrame version
     :func:`irspark.operators.index.postings_from_tokens` stages it so nothing is recomputed)."""

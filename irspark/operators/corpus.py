@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..contracts import bounded_broadcast, id_str, literal_broadcast, require_columns, round6, text_or_empty
-from ..functions.text import bigrams, resolve_tokenizer
+from ..functions.text import bigrams, first_positions, resolve_tokenizer
 from .common import attach_scalars, top_k
 from .index import Index, postings_from_terms, postings_from_tokens, term_arrays, tokenize
 from .ranking import global_rank
@@ -110,10 +110,9 @@ def heaps(tokens: DataFrame, order_col: str, checkpoints: list[int], group_cols=
     cps = sorted({int(c) for c in checkpoints if int(c) > 0})
     dl = tokens.select(id_col, order_col, *g, F.size(tokens_col).alias("dl"))
     off = doc_offsets(dl, order_col, g).select(id_col, *g, "offset")
-    # first position of each term inside its document (partial min map-side: the positions
-    # of one document all come from one row), then shifted by the document offset
-    pos = (tokens.select(id_col, *g, F.posexplode(tokens_col).alias("pos", "term"))
-           .groupBy(id_col, *g, "term").agg(F.min("pos").alias("pos")))
+    # first position of each term inside its document, computed in the document row (no
+    # token explode, no (doc, term) shuffle), then shifted by the document offset
+    pos = tokens.select(id_col, *g, F.inline(first_positions(tokens_col)))
     first = (pos.join(off, [id_col, *g]).withColumn("gpos", F.col("offset") + F.col("pos"))
              .groupBy(*g, "term").agg(F.min("gpos").alias("first_pos")))
     arr = F.array(*[F.lit(c) for c in cps])

@@ -53,3 +53,10 @@ def test_normalize_terms_join(spark):
     mapping = spark.createDataFrame([("walking", "walk"), ("talked", "talk")], "term string, mapped string")
     out = {r["doc_id"]: r["tokens"] for r in T.normalize_terms(df, mapping).collect()}
     assert out == {"d1": ["walk", "talk", "cat"], "d2": []}
+
+
+def test_first_positions(spark):
+    df = spark.createDataFrame([(["b", "a", "b", "c", "a"],), ([],)], "t array<string>")
+    rows = df.select(T.first_positions("t").alias("f")).collect()
+    assert sorted((r["term"], r["pos"]) for r in rows[0]["f"]) == [("a", 1), ("b", 0), ("c", 3)]
+    assert not rows[1]["f"]
