@@ -108,11 +108,14 @@ def heaps(tokens: DataFrame, order_col: str, checkpoints: list[int], group_cols=
     checkpoint bucket are summed cumulatively over the (few) checkpoints."""
     g = list(group_cols)
     cps = sorted({int(c) for c in checkpoints if int(c) > 0})
-    dl = tokens.select(id_col, order_col, *g, F.size(tokens_col).alias("dl"))
+    # one pass over the texts: length and first position of each term inside its document
+    # (computed in the document row: no token explode, no (doc, term) shuffle); checkpointed
+    # so lengths, totals and positions do not tokenise again
+    per_doc = tokens.select(id_col, order_col, *g, F.size(tokens_col).alias("dl"),
+                            first_positions(tokens_col).alias("fp")).checkpoint(eager=True)
+    dl = per_doc.select(id_col, order_col, *g, "dl")
     off = doc_offsets(dl, order_col, g).select(id_col, *g, "offset")
-    # first position of each term inside its document, computed in the document row (no
-    # token explode, no (doc, term) shuffle), then shifted by the document offset
-    pos = tokens.select(id_col, *g, F.inline(first_positions(tokens_col)))
+    pos = per_doc.select(id_col, *g, F.inline("fp"))
     first = (pos.join(off, [id_col, *g]).withColumn("gpos", F.col("offset") + F.col("pos"))
              .groupBy(*g, "term").agg(F.min("gpos").alias("first_pos")))
     arr = F.array(*[F.lit(c) for c in cps])
