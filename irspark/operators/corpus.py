@@ -25,7 +25,7 @@ def corpus_stats(index: Index) -> DataFrame:
               F.try_divide(F.sum(F.col("freq") * F.col("len")).cast("double"), F.sum("freq")).alias("avg_token_len"),
               F.avg("len").alias("avg_type_len"))
     s = index.stats.select("n_docs", F.col("total_len").alias("n_tokens"), F.col("avgdl").alias("avg_doc_len"))
-    return s.crossJoin(v).drop("n_tok_v")
+    return attach_scalars(s, v).drop("n_tok_v")
 
 
 def corpus_stats_by(tokens: DataFrame, group: str = "variant", id_col: str = "doc_id",

@@ -37,8 +37,12 @@ def _measures(metrics) -> list[Measure]:
 
 
 def per_query_metrics(run: DataFrame, qrels: DataFrame, metrics=None, group_cols=(),
-                      missing_as_zero: bool = True) -> DataFrame:
-    """Wide table: group_cols..., query_id, one DOUBLE column per measure (named like P@10)."""
+                      missing_as_zero: bool = True, groups: DataFrame | None = None) -> DataFrame:
+    """Wide table: group_cols..., query_id, one DOUBLE column per measure (named like P@10).
+
+    ``groups`` is the (small, literal) table of group keys when the caller knows it, e.g. an
+    alpha or k1/b grid; it is broadcast against the judged queries.  Without it the groups
+    are the distinct keys of the run."""
     measures = _measures(metrics)
     g = list(group_cols)
     require_columns(run, {"query_id", "doc_id", "score", *g}, "run_df")
@@ -91,9 +95,13 @@ def per_query_metrics(run: DataFrame, qrels: DataFrame, metrics=None, group_cols
     # every (group, judged query): groups come from the run, queries from the qrels
     if missing_as_zero:
         if len(qr_keep) < len(g):
-            groups = run.select(*g).distinct()
-            # (few run groups) x judged queries; joined on the group keys the qrels share
-            base = groups.join(F.broadcast(ideal), qr_keep) if qr_keep else groups.crossJoin(ideal)
+            if groups is not None:
+                # literal grid x judged queries: the grid side is broadcast
+                base = ideal.join(F.broadcast(groups.select(*g)), qr_keep) if qr_keep else ideal.crossJoin(F.broadcast(groups.select(*g)))
+            else:
+                run_groups = run.select(*g).distinct()
+                # run groups x judged queries; joined on the group keys the qrels share
+                base = run_groups.join(F.broadcast(ideal), qr_keep) if qr_keep else run_groups.crossJoin(F.broadcast(ideal))
         else:
             base = ideal
         out = base.join(runq, [*g, "query_id"], "left")
@@ -114,11 +122,11 @@ def per_query_metrics(run: DataFrame, qrels: DataFrame, metrics=None, group_cols
 
 
 def evaluate_run(run: DataFrame, qrels: DataFrame, metrics=None, per_query: bool = False, group_cols=(),
-                 missing_as_zero: bool = True):
+                 missing_as_zero: bool = True, groups: DataFrame | None = None):
     """-> aggregate frame (group_cols..., one column per measure).  With ``per_query`` the
     per-query wide table is returned as a second value."""
     measures = _measures(metrics)
-    pq = per_query_metrics(run, qrels, measures, group_cols, missing_as_zero)
+    pq = per_query_metrics(run, qrels, measures, group_cols, missing_as_zero, groups)
     agg = pq.groupBy(*group_cols).agg(*[F.avg(F.col(f"`{m.name}`")).alias(m.name) for m in measures])
     return (agg, pq) if per_query else agg
 

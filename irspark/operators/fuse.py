@@ -57,7 +57,7 @@ def tune_alpha(bm25: DataFrame, vec: DataFrame, qrels: DataFrame, alphas: DataFr
     Returns (best one-row frame (alpha, metric), full table (alpha, metric))."""
     alphas = alphas if alphas is not None else alpha_grid(bm25.sparkSession)
     mixed = mix_runs_grid(bm25, vec, alphas)
-    table = evaluate_run(mixed, qrels, [metric], group_cols=["alpha"])
+    table = evaluate_run(mixed, qrels, [metric], group_cols=["alpha"], groups=alphas)
     best = table.agg(F.min_by(F.struct(F.col("alpha"), F.col(f"`{metric}`")),
                               F.struct(-F.col(f"`{metric}`"), F.col("alpha"))).alias("b")).select("b.*")
     return best, table

@@ -207,7 +207,7 @@ def _derive(postings: DataFrame, doc_len: DataFrame) -> Index:
     raw_idf = F.ln(F.col("n_docs") - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)
     vocab = (term_df.crossJoin(F.broadcast(base.select("n_docs")))
              .agg(F.count(F.lit(1)).alias("n_terms"), F.avg(raw_idf).alias("mean_okapi_idf")))
-    stats = base.crossJoin(vocab)
+    stats = base.crossJoin(F.broadcast(vocab))  # one row x one row
     return Index(postings, doc_len, term_df, stats)
 
 

@@ -9,6 +9,7 @@ from ..contracts import round6
 from ..functions import text as T
 from ..operators import fuse as FU
 from ..operators import lexical as lx
+from ..operators.common import attach_scalars
 from ..operators.evaluate import evaluate_run
 from ..operators.sets import concat_splits, filter_run
 from ..sources import fixtures as fx
@@ -65,7 +66,7 @@ def q_tune_alpha(spark, sf):
     """nDCG@20 of alpha * minmax(BM25) + (1 - alpha) * cosine for the 21-point grid, one job;
     ``best`` is the first (smallest) alpha reaching the maximum."""
     best, table = FU.tune_alpha(bm25_hybrid(spark, sf), vector_run(spark, sf, 20), fx.vector_qrels(spark, sf))
-    return (table.crossJoin(best.select(F.col("alpha").alias("b_alpha")))
+    return (attach_scalars(table, best.select(F.col("alpha").alias("b_alpha")))
             .select(round6("alpha").alias("alpha"), round6(F.col("`nDCG@20`")).alias("nDCG@20"),
                     (F.col("alpha") == F.col("b_alpha")).alias("best")))
 
@@ -217,5 +218,6 @@ def q_eval_summary(spark, sf):
         "tfidf_whitespace": lx.tfidf_retrieve(docs, qs, 20, tokenizer=T.tok_whitespace),
     }
     allr = concat_splits(runs).withColumnRenamed("split", "method")
-    t = evaluate_run(allr, qrels, _ALL, group_cols=["method"])
+    methods = spark.createDataFrame([(m,) for m in runs], "method string")
+    t = evaluate_run(allr, qrels, _ALL, group_cols=["method"], groups=methods)
     return t.select("method", *[round6(F.col(f"`{n}`")).alias(n) for n in _ALL])

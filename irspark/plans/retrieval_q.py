@@ -10,6 +10,7 @@ from ..functions import text as T
 from ..functions.vectors import l2_norm, l2_normalize
 from ..operators import lexical as lx
 from ..operators import vector as V
+from ..operators.common import attach_scalars
 from ..operators.evaluate import evaluate_run
 from ..operators.index import build_index
 from ..sources import fixtures as fx
@@ -177,9 +178,9 @@ def q_bm25_grid(spark, sf):
     grid = spark.createDataFrame(GRID, "k1 double, b double")
     runs = lx.bm25_grid_runs(fx.docs(spark, sf), val, grid, 20)
     qrels = fx.qrels(spark, sf).join(val.select("query_id"), "query_id", "left_semi")
-    t = evaluate_run(runs, qrels, ["nDCG@20"], group_cols=["k1", "b"])
+    t = evaluate_run(runs, qrels, ["nDCG@20"], group_cols=["k1", "b"], groups=grid)
     best = t.agg(F.min_by(F.struct("k1", "b"), F.struct(-F.col("`nDCG@20`"), F.col("k1"), F.col("b"))).alias("w"))
-    return (t.crossJoin(best).select("k1", "b", round6(F.col("`nDCG@20`")).alias("nDCG@20"),
+    return (attach_scalars(t, best).select("k1", "b", round6(F.col("`nDCG@20`")).alias("nDCG@20"),
                                      ((F.col("k1") == F.col("w.k1")) & (F.col("b") == F.col("w.b"))).alias("best")))
 
 

@@ -55,5 +55,5 @@ def describe_letor(df: DataFrame) -> DataFrame:
     fe = df.select(F.explode(F.map_keys("features")).alias("k"))
     nf = fe.agg(F.countDistinct("k").alias("n_features"), F.count(F.lit(1)).alias("n_values"))
     rows = df.agg(F.count(F.lit(1)).alias("n_rows"))
-    out = rows.crossJoin(q).crossJoin(labels).crossJoin(nf)
+    out = rows.crossJoin(F.broadcast(q)).crossJoin(F.broadcast(labels)).crossJoin(F.broadcast(nf))  # one-row aggregates
     return out.withColumn("fill_rate", F.col("n_values") / (F.col("n_rows") * F.col("n_features"))).drop("n_values")
