@@ -88,3 +88,20 @@ def q_normalize_answer(spark, sf):
     d = fx.docs(spark, sf)
     t = T.normalize_answer(F.col("text"))
     return d.select("doc_id", F.length(t).cast("bigint").alias("n"), F.md5(t).alias("h"))
+
+
+def lemma_rule(c):
+    """Stand-in lemma table rule: plural -> singular ('ies' -> 'y', a final 's' after a
+    letter other than 's' dropped)."""
+    return F.regexp_replace(F.regexp_replace(c, "ies$", "y"), "([^s])s$", "$1")
+
+
+@register("normalize_terms_lemma", _sql_tok(f"list_transform({_SIMPLE}, lambda w: regexp_replace(regexp_replace(w, 'ies$', 'y'), '([^s])s$', '\\1'))"))
+def q_normalize_terms_lemma(spark, sf):
+    """Same vocabulary job as the stem variant with a lemma-style mapping table."""
+    d = fx.docs(spark, sf)
+    toks = d.select("doc_id", T.tok_simple(fx.STOPWORDS)(F.col("text")).alias("tokens"))
+    vocab = toks.select(F.explode("tokens").alias("term")).distinct()
+    mapping = vocab.select("term", lemma_rule(F.col("term")).alias("mapped"))
+    out = T.normalize_terms(toks, mapping)
+    return _tok_out(out, F.col("tokens"))
