@@ -37,10 +37,24 @@ class Index:
             return build(self)
         spark = self.postings.sparkSession
         target = f"{self.path}/derived_{name}"
+        nb = self.stats.select("n_buckets").first()["n_buckets"] if "n_buckets" in self.stats.columns else None
+        tname = _table_name(target)
         try:
-            return spark.read.parquet(target)
+            if nb and spark.catalog.tableExists(tname):
+                return spark.table(tname)
+            t = spark.read.parquet(target)
+            if nb and "doc_id" in t.columns:
+                return _register_bucketed(spark, target, tname, int(nb))
+            return t
         except AnalysisException:
-            build(self).write.mode("overwrite").parquet(target)
+            df = build(self)
+            if nb and "doc_id" in df.columns:
+                # bucketed like the forward index: joins on doc_id with postings-derived
+                # frames are co-partitioned (no shuffle on either side)
+                (df.repartition(int(nb), "doc_id").write.mode("overwrite").bucketBy(int(nb), "doc_id")
+                 .option("path", target).saveAsTable(tname))
+                return spark.table(tname)
+            df.write.mode("overwrite").parquet(target)
             return spark.read.parquet(target)
 
     def materialize(self, path: str | None = None) -> "Index":
@@ -62,16 +76,21 @@ def _table_name(path: str) -> str:
     return "irspark_doc_terms_" + hashlib.sha1(path.encode("utf-8")).hexdigest()[:16]
 
 
+def _register_bucketed(spark, location: str, name: str, n_buckets: int):
+    if not spark.catalog.tableExists(name):
+        schema = spark.read.parquet(location).schema
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (doc_id) INTO {int(n_buckets)} BUCKETS "
+                  f"LOCATION '{location}'")
+    return spark.table(name)
+
+
 def _doc_terms(spark, path: str, n_buckets: int | None):
     """The forward index as a table bucketed by doc_id (so joins and (query, doc) sums keep
     the doc partitioning); registered in this session's catalog on first use."""
-    name = _table_name(path)
-    if n_buckets and not spark.catalog.tableExists(name):
-        schema = spark.read.parquet(f"{path}/doc_terms").schema
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet CLUSTERED BY (doc_id) INTO {int(n_buckets)} BUCKETS "
-                  f"LOCATION '{path}/doc_terms'")
-    return spark.table(name) if n_buckets else spark.read.parquet(f"{path}/doc_terms")
+    if n_buckets:
+        return _register_bucketed(spark, f"{path}/doc_terms", _table_name(path), int(n_buckets))
+    return spark.read.parquet(f"{path}/doc_terms")
 
 
 def load_index(spark, path: str) -> Index:

@@ -184,9 +184,12 @@ def tfidf_retrieve(docs_or_index, queries: DataFrame, k: int = 10, tokenizer=Non
     index = _as_index(docs_or_index, tokenizer)
     idf, norms = tfidf_weights(index)
     qterms = query_terms(queries, tokenizer)
-    qw = qterms.join(idf, "term").withColumn("qw", F.col("qtf") * F.col("idf"))
+    # idf restricted to the query vocabulary first; the query side is checkpointed once and
+    # broadcast when proven small
+    qidf = idf.join(qterms.select("term").distinct(), "term", "left_semi")
+    qw = qterms.join(qidf, "term").withColumn("qw", F.col("qtf") * F.col("idf"))
     qnorm = qw.groupBy("query_id").agg(F.sqrt(F.sum(F.col("qw") ** 2)).alias("qnorm"))
-    qw = bounded_broadcast(qw.join(qnorm, "query_id").select("query_id", "term", "qw", "idf", "qnorm"))
+    qw = bounded_broadcast(qw.join(qnorm, "query_id").select("query_id", "term", "qw", "idf", "qnorm"), checkpoint=True)
     m = index.postings.join(qw, "term")
     dot = m.groupBy("query_id", "doc_id").agg(F.sum(F.col("qw") * F.col("tf") * F.col("idf")).alias("dot"),
                                               F.max("qnorm").alias("qnorm"))
