@@ -5,8 +5,10 @@ All derivations are Spark jobs over the given parquet tables; nothing is synthes
 
 from __future__ import annotations
 
+import hashlib
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,9 +85,20 @@ def containment_pairs(docs_df: DataFrame, patterns: DataFrame, max_patterns: int
 
 
 def qrels(spark, sf_dir) -> DataFrame:
-    """Binary qrels: a document is relevant to a benchmark item when it contains its text."""
-    pairs = containment_pairs(docs(spark, sf_dir), queries(spark, sf_dir))
-    return pairs.select("query_id", "doc_id", F.lit(1).alias("relevance"))
+    """Binary qrels: a document is relevant to a benchmark item when it contains its text.
+
+    Derived once per pair of input tables and written under the checkpoint folder (like a
+    qrels file); later calls read the written judgments."""
+    d, b = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    key = hashlib.sha1("|".join(["qrels-v1", spark.sparkContext.applicationId, *sorted(d.inputFiles()),
+                                 *sorted(b.inputFiles())]).encode("utf-8")).hexdigest()[:24]
+    path = os.path.join(spark.conf.get("spark.checkpoint.dir"), "irspark-fixtures", key)
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:
+        pairs = containment_pairs(docs(spark, sf_dir), queries(spark, sf_dir))
+        pairs.select("query_id", "doc_id", F.lit(1).alias("relevance")).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
 
 
 def vectors(spark, sf_dir) -> DataFrame:
