@@ -36,8 +36,10 @@ class Index:
         if self.path is None:
             return build(self)
         spark = self.postings.sparkSession
-        target = f"{self.path}/derived_{name}"
         nb = self.stats.select("n_buckets").first()["n_buckets"] if "n_buckets" in self.stats.columns else None
+        # the layout (bucket count) is part of the folder name, so a folder is only ever read
+        # with the layout it was written with
+        target = f"{self.path}/derived_{name}_b{nb or 0}"
         tname = _table_name(target)
         try:
             if nb and spark.catalog.tableExists(tname):
@@ -156,7 +158,8 @@ def index_key(docs: DataFrame, tokenizer, id_col: str, text_col: str) -> str | N
     if tk is None or not files:  # in-memory frames have no stable identity: never reused
         return None
     files = ",".join(files)
-    raw = f"v3|{docs.semanticHash()}|{files}|{tk}|{id_col}|{text_col}"
+    # bump the version whenever the on-disk layout changes: stale layouts are never reused
+    raw = f"v4|{docs.semanticHash()}|{files}|{tk}|{id_col}|{text_col}"
     return hashlib.sha1(raw.encode("utf-8")).hexdigest()[:24]
 
 
