@@ -2,8 +2,8 @@
 
 ``global_rank`` numbers the rows of every group by an order key.  Rows are range
 partitioned on (group, key), so a group that holds a third of all rows is spread over many
-partitions; per-partition counts (a table of partitions x groups, tiny) give offsets; the
-position inside a partition comes from ``monotonically_increasing_id`` after a local sort.
+partitions; per-partition counts give offsets; the position inside a partition comes from
+``monotonically_increasing_id`` after a local sort.
 """
 
 from __future__ import annotations
@@ -18,13 +18,19 @@ def global_rank(df: DataFrame, group_cols, order_cols, rank_col: str = "grank",
     o = list(order_cols)
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The range bounds come from a sample, so two evaluations of this exchange may cut the rows
+    # differently.  It is evaluated once, into a reliable checkpoint, and both uses read that.
     ordered = (df.repartitionByRange(n, *g, *o).sortWithinPartitions(*g, *o)
                .withColumn("_pid", F.spark_partition_id())
-               .withColumn("_mid", F.monotonically_increasing_id()))
-    # per (partition, group): first local id and row count -> tiny table
+               .withColumn("_mid", F.monotonically_increasing_id())
+               .checkpoint(eager=True))
+    # per (partition, group): first local id and row count
     blocks = ordered.groupBy("_pid", *g).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
     w = Window.partitionBy(*g).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = blocks.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0)))
-    out = ordered.join(F.broadcast(blocks.select("_pid", *g, "_first", "_off")), ["_pid", *g])
-    return (out.withColumn(rank_col, F.col("_mid") - F.col("_first") + F.col("_off") + 1)
-            .drop("_pid", "_mid", "_first", "_off"))
+    blocks = blocks.select(F.col("_pid").alias("_bpid"), *[F.col(c).alias(f"_b_{c}") for c in g],
+                           (F.col("_first") - F.coalesce(F.sum("_cnt").over(w), F.lit(0))).alias("_shift"))
+    same = F.col("_pid") == F.col("_bpid")
+    for c in g:
+        same = same & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
+    out = ordered.join(blocks, same)
+    return out.withColumn(rank_col, F.col("_mid") - F.col("_shift") + 1).select(*df.columns, rank_col)

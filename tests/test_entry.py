@@ -22,6 +22,18 @@ def test_global_rank_matches_row_number(spark):
         assert [x[1] for x in items] == list(range(1, len(items) + 1))
 
 
+def test_global_rank_with_payload_and_more_rows_than_the_range_sample(spark):
+    df = spark.range(0, 200_000, 1, 16).selectExpr(
+        "nullif(id % 3, 2) AS g", "cast(id * 7919 % 200003 AS bigint) AS k", "concat('payload ', id) AS p")
+    r = global_rank(df, ["g"], ["k"], "r", num_partitions=16)
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    exact = df.withColumn("e", F.row_number().over(Window.partitionBy("g").orderBy("k")))
+    assert r.columns == ["g", "k", "p", "r"]
+    assert r.join(exact, ["p"]).filter("r = e").count() == 200_000
+
+
 def test_query_difficulty_bands_equal_ntile(spark):
     from pyspark.sql import Window
     from pyspark.sql import functions as F
