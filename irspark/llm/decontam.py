@@ -22,8 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import BROADCAST_BYTES, cut
-from .text import as_bytes, bounds, groups, hashed_words, shingle_hashes, shingle_set
+from .frames import BROADCAST_BYTES, cut, map_batches
+from .text import as_bytes, bounds, groups, hashed_words, shingle_hashes, shingle_set, slices
 
 PAIRS = "doc_id bigint, item_id bigint, item_shingles int, shared_shingles int"
 
@@ -113,7 +113,7 @@ class Items:
 def _search(rows, k, threshold, miss):
     def run(batches):
         items = Items(rows, k, threshold, miss)
-        for batch in batches:
+        for batch in slices(batches, 1):
             texts, ids = as_bytes(batch.column(1)), batch.column(0).to_pylist()
             out = []
             for first, last in groups(texts):
@@ -138,7 +138,7 @@ def _pairs(out):
 
 def _document_keys(need_classes, k, miss):
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             texts, ids = as_bytes(batch.column(1)), batch.column(0).to_pylist()
             for first, last in groups(texts):
                 where, h = shingle_hashes(*hashed_words(texts[first:last]), k)
@@ -156,7 +156,7 @@ def _document_keys(need_classes, k, miss):
 
 def _item_keys(bins_of, k, threshold):
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             texts, ids = as_bytes(batch.column(1)), batch.column(0).to_pylist()
             where, h = shingle_hashes(*hashed_words(texts), k)
             at = bounds(where, len(texts))
@@ -217,15 +217,15 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     size = items.agg(F.sum(F.coalesce(F.octet_length("item"), F.lit(0)) + 16)).first()[0] or 0
     if size <= broadcast_bytes:
         rows = [(r[0], (r[1] or "").encode()) for r in items.distinct().collect()]
-        found = docs.mapInArrow(_search(rows, shingle, threshold, miss), PAIRS).distinct()
+        found = map_batches(docs, _search(rows, shingle, threshold, miss), PAIRS).distinct()
     else:
-        classes = sorted(r[0] for r in items.mapInArrow(_classes(shingle, threshold), "c int").distinct().collect())
+        classes = sorted(r[0] for r in map_batches(items, _classes(shingle, threshold), "c int").distinct().collect())
         bins_of = {c: sorted({bins_log2(s, c, miss) for s in range(64)}) for c in classes}
-        doc_keys = docs.mapInArrow(_document_keys(classes, shingle, miss), "part int, key bigint, doc_id bigint")
-        item_keys = items.mapInArrow(_item_keys(bins_of, shingle, threshold), "part int, key bigint, item_id bigint")
+        doc_keys = map_batches(docs, _document_keys(classes, shingle, miss), "part int, key bigint, doc_id bigint")
+        item_keys = map_batches(items, _item_keys(bins_of, shingle, threshold), "part int, key bigint, item_id bigint")
         pairs = cut(doc_keys.join(item_keys, ["part", "key"]).select("doc_id", "item_id").distinct())
         texts = (pairs.join(docs, pairs["doc_id"].eqNullSafe(docs["doc_id"]))
                  .join(items, pairs["item_id"].eqNullSafe(items["item_id"]))
                  .select(pairs["doc_id"], pairs["item_id"], "text", "item"))
-        found = texts.mapInArrow(_verify(shingle, threshold), PAIRS).distinct()
+        found = map_batches(texts, _verify(shingle, threshold), PAIRS).distinct()
     return found.withColumn("containment", F.col("shared_shingles") / F.col("item_shingles"))

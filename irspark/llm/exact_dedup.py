@@ -14,13 +14,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import cut
-from .text import as_bytes
+from .frames import cut, map_batches
+from .text import as_bytes, slices
 
 
 def _normalise(with_text: bool):
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             texts = [t.lower() for t in as_bytes(batch.column(1))]
             digests = pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary())
             columns = [batch.column(0), digests]
@@ -48,11 +48,11 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     digest = F.substring("sha", 1, digest_bytes).alias("digest")
-    ids = cut(rows.mapInArrow(_normalise(False), "id bigint, sha binary"))
+    ids = cut(map_batches(rows, _normalise(False), "id bigint, sha binary"))
     keyed = ids.select("id", "sha", digest)
     hot = cut(keyed.groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
               .where(F.col("n") * max_hot > ids.count()).select("digest", F.lit(True).alias("hot")))
-    full = (rows.mapInArrow(_normalise(True), "id bigint, sha binary, norm string")
+    full = (map_batches(rows, _normalise(True), "id bigint, sha binary, norm string")
             .select("id", "norm", digest))
     salted = (full.join(F.broadcast(hot), "digest", "left")
               .withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("id"), F.lit(salts)))))

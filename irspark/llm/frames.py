@@ -10,6 +10,17 @@ from ..session import ensure_checkpoint_dir
 BROADCAST_BYTES = 32 << 20           # largest side that is broadcast, in bytes
 
 
+BATCH_BYTES = 8 << 20                # most bytes of one Arrow batch, unless the session says otherwise
+
+
+def map_batches(df: DataFrame, fn, schema) -> DataFrame:
+    """``mapInArrow`` with batches bounded in bytes, as texts may be very long."""
+    conf = df.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) is None:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(fn, schema)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write the frame once to the shared checkpoint folder and go on from there."""
     ensure_checkpoint_dir(df.sparkSession)

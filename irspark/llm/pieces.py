@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import as_bytes, groups
+from .frames import map_batches
+from .text import as_bytes, groups, slices
 
 MARK = "▁"
 #: Words whose segmentation a worker remembers; later ones are solved again in each block of text.
@@ -275,7 +276,7 @@ class _Shared:
 def _encode(shared):
     def run(batches):
         pieces = _pieces(shared)
-        for batch in batches:
+        for batch in slices(batches, 1):
             texts = as_bytes(batch.column(1))
             for first, last in groups(texts):
                 rows, some = batch.slice(first, last - first), texts[first:last]
@@ -310,7 +311,7 @@ def encode_pieces(docs: DataFrame, vocabulary: str | list = VOCABULARY, id_col:
     """
     entries = load_vocabulary(vocabulary) if isinstance(vocabulary, str) else vocabulary
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_encode(_Shared(docs.sparkSession, entries)),
+    return map_batches(rows, _encode(_Shared(docs.sparkSession, entries)),
                            "doc_id bigint, n_pieces int, piece_ids array<int>, score double, round_trip boolean")
 
 
@@ -319,4 +320,4 @@ def decode_pieces(encoded: DataFrame, vocabulary: str | list = VOCABULARY, id_co
     """doc_id and text of each row of piece ids; null ids give the empty text."""
     entries = load_vocabulary(vocabulary) if isinstance(vocabulary, str) else vocabulary
     rows = encoded.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
-    return rows.mapInArrow(_decode(_Shared(encoded.sparkSession, entries)), "doc_id bigint, text string")
+    return map_batches(rows, _decode(_Shared(encoded.sparkSession, entries)), "doc_id bigint, text string")

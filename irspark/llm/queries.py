@@ -13,6 +13,7 @@ from .decontam import contaminated
 from .exact_dedup import exact_dedup
 from .frames import remainder
 from .pieces import encode_pieces
+from .sharding import shard_documents
 from .simhash import simhash_dedup
 from .toxicity import toxicity_scores, train_toxicity
 
@@ -81,3 +82,9 @@ def op7_pieces(spark, sf_dir):
 def op8_simhash(spark, sf_dir):
     """Fingerprint and near-duplicate component of every document."""
     return simhash_dedup(table(spark, sf_dir, "documents"))
+
+
+@register("op1_balanced_shards")
+def op1_balanced_shards(spark, sf_dir):
+    """16 shards with row counts at most one apart, equal texts together."""
+    return shard_documents(table(spark, sf_dir, "documents"))

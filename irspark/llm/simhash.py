@@ -17,9 +17,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import cut
+from .frames import cut, map_batches
 from .graph import connected_components
-from .text import as_bytes, blocks
+from .text import as_bytes, blocks, slices
 
 
 def _shingles(text: bytes, k: int):
@@ -58,7 +58,7 @@ def _fingerprints(k: int, seed: int):
     def run(batches):
         from xxhash import xxh64_intdigest
 
-        for batch in batches:
+        for batch in slices(batches, 1):
             out = []
             for text in as_bytes(batch.column(1)):
                 ones, n = np.zeros(64, np.int64), 0
@@ -126,7 +126,7 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     only has a null component_id.  Repeated rows stay.  Other columns are ignored.
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    marked = cut(rows.mapInArrow(_fingerprints(shingle, seed), "doc_id bigint, fp bigint"))
+    marked = cut(map_batches(rows, _fingerprints(shingle, seed), "doc_id bigint, fp bigint"))
     least = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = cut(near_fingerprints(least, bits).join(least, F.col("node") == F.col("fp"))
                 .select("fp", "root", "first"))

@@ -11,6 +11,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 BLOCK = 1 << 20                      # bytes of text handled at once; longer texts go block by block
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
@@ -30,6 +31,20 @@ def as_bytes(column) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.string()).cast(pa.binary()).to_pylist()]
 
 
+def slices(batches, column: int, limit: int = BLOCK):
+    """Arrow batches in slices of about ``limit`` bytes of text, so that a task holds few texts as
+    Python objects at once.  One long text stands alone; no row is left out."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column).cast(pa.string())), 0).to_numpy(zero_copy_only=False)
+        ends = np.cumsum(sizes + 1)
+        first = 0
+        while first < batch.num_rows:
+            base = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, base + limit, "right")))
+            yield batch.slice(first, last - first)
+            first = last
+
+
 def groups(texts: list[bytes], limit: int = BLOCK):
     """(first, last) index ranges of about ``limit`` bytes each; one long text stands alone."""
     first = size = 0
