@@ -13,6 +13,7 @@ from .decontam import contaminated
 from .exact_dedup import exact_dedup
 from .frames import remainder
 from .pieces import encode_pieces
+from .secrets import ACCESS, ASSIGN, ENDPOINT, HEX, WEAK_ACCESS, WEAK_SECRET, secret_scan
 from .sharding import shard_documents
 from .simhash import simhash_dedup
 from .toxicity import toxicity_scores, train_toxicity
@@ -88,3 +89,40 @@ def op8_simhash(spark, sf_dir):
 def op1_balanced_shards(spark, sf_dir):
     """16 shards with row counts at most one apart, equal texts together."""
     return shard_documents(table(spark, sf_dir, "documents"))
+
+
+def _span_sql(kind: str, rank: int, pattern: str, keep: str) -> str:
+    p = pattern.replace("'", "''")
+    return f"""SELECT doc_id, '{kind}' AS kind, {rank} AS r, s, s + length(hit) AS e FROM (
+  SELECT doc_id, m[i] AS hit, v[i] AS val, length(array_to_string(g[1:i], '')) + length(array_to_string(m[1:i - 1], '')) AS s
+  FROM (SELECT doc_id, m, v, g, unnest(range(1, len(m) + 1)) AS i FROM (
+    SELECT doc_id, regexp_extract_all(t, '{p}') AS m, regexp_extract_all(t, '{p}', {1 if kind == 'assign' else 0}) AS v,
+           string_split_regex(t, '{p}') AS g FROM docs))) WHERE {keep}"""
+
+
+_NEAR = "p.doc_id = x.doc_id AND p.s <= x.e + 200 AND p.e >= x.s - 200"
+_SECRETS_SQL = f"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+base AS ({_span_sql('assign', 0, ASSIGN, 'length(val) >= 8')} UNION ALL {_span_sql('access', 1, ACCESS, 'length(hit) >= 16')}
+  UNION ALL {_span_sql('hex', 2, HEX, 'true')}),
+weak AS (SELECT * FROM ({_span_sql('weak_secret', 3, WEAK_SECRET, 'length(hit) = 40')} UNION ALL
+  {_span_sql('weak_access', 4, WEAK_ACCESS, 'length(hit) BETWEEN 8 AND 40')} UNION ALL {_span_sql('endpoint', 5, ENDPOINT, 'true')}) AS w
+  WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = w.doc_id AND b.s <= w.s AND w.e <= b.e)),
+parts AS (SELECT *, CASE WHEN kind IN ('access', 'weak_access') THEN 'id' WHEN kind = 'endpoint' THEN 'endpoint'
+  ELSE 'secret' END AS role FROM (SELECT * FROM base UNION ALL SELECT * FROM weak)),
+linked AS (SELECT * EXCLUDE (role) FROM parts x WHERE r > 2
+  AND (role = 'id' OR EXISTS (SELECT 1 FROM parts p WHERE {_NEAR} AND p.role = 'id'))
+  AND (role = 'secret' OR EXISTS (SELECT 1 FROM parts p WHERE {_NEAR} AND p.role = 'secret'))),
+b AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+  count(*) FILTER (kind = 'hex') AS n_hex, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, r, e) AS l FROM base GROUP BY 1),
+a AS (SELECT doc_id, count(*) FILTER (r > 2) AS n_linked, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, r, e) AS l
+  FROM (SELECT * FROM base UNION ALL SELECT * FROM linked) GROUP BY 1)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(b.l, '')) AS base_sha256, coalesce(a.l, '') AS spans, coalesce(n_linked, 0) AS n_linked
+FROM docs LEFT JOIN b USING (doc_id) LEFT JOIN a USING (doc_id)"""
+
+
+@register("op10_secrets", _SECRETS_SQL)
+def op10_secrets(spark, sf_dir):
+    """Secrets of every document, weak parts only where complementary parts stand near."""
+    return secret_scan(table(spark, sf_dir, "documents"))
