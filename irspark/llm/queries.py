@@ -11,8 +11,10 @@ from pyspark.sql import functions as F
 
 from .decontam import contaminated
 from .exact_dedup import exact_dedup
-from .frames import remainder
+from .frames import cut, remainder
+from .langid import language_mixtures, train_languages
 from .pieces import encode_pieces
+from .quality import document_statistics, quality_scores, train_quality
 from .secrets import ACCESS, ASSIGN, ENDPOINT, HEX, WEAK_ACCESS, WEAK_SECRET, secret_scan
 from .sharding import shard_documents
 from .simhash import simhash_dedup
@@ -126,3 +128,22 @@ FROM docs LEFT JOIN b USING (doc_id) LEFT JOIN a USING (doc_id)"""
 def op10_secrets(spark, sf_dir):
     """Secrets of every document, weak parts only where complementary parts stand near."""
     return secret_scan(table(spark, sf_dir, "documents"))
+
+
+@register("op2_language_mixture")
+def op2_language_mixture(spark, sf_dir):
+    """Language of every document by mixture inference; every third id teaches nothing."""
+    docs = table(spark, sf_dir, "documents")
+    held = remainder("doc_id", 3) == 1
+    found = language_mixtures(docs, train_languages(docs.where(~held)))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "languages", "shares")
+
+
+@register("op9_quality")
+def op9_quality(spark, sf_dir):
+    """Quality score of every document; labels of the rows held out teach nothing."""
+    held = remainder("doc_id", 5) == 0
+    stats = cut(document_statistics(table(spark, sf_dir, "documents")))
+    model = train_quality(stats, table(spark, sf_dir, "labels").where(~held))
+    return quality_scores(stats, model).select("doc_id", held.alias("held_out"), "score",
+                                               (F.col("score") >= 0.3).cast("int").alias("predicted"))
