@@ -18,6 +18,7 @@ from .quality import document_statistics, quality_scores, train_quality
 from .secrets import ACCESS, ASSIGN, ENDPOINT, HEX, WEAK_ACCESS, WEAK_SECRET, secret_scan
 from .sharding import shard_documents
 from .simhash import simhash_dedup
+from .suffix_tree import suffix_tree_scores, train_suffix_tree
 from .toxicity import toxicity_scores, train_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +148,13 @@ def op9_quality(spark, sf_dir):
     model = train_quality(stats, table(spark, sf_dir, "labels").where(~held))
     return quality_scores(stats, model).select("doc_id", held.alias("held_out"), "score",
                                                (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@register("op4_suffix_tree")
+def op4_suffix_tree(spark, sf_dir):
+    """Log probability of every document under the suffix tree; every seventh id teaches nothing."""
+    docs = table(spark, sf_dir, "documents")
+    held = remainder("doc_id", 7) == 2
+    model, words = train_suffix_tree(docs.where(~held))
+    return suffix_tree_scores(docs, model, words).select(
+        "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
