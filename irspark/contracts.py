@@ -39,10 +39,6 @@ def round6(c) -> Column:
     return F.round(c.cast("double"), 6)
 
 
-def empty_like(df: DataFrame, columns) -> DataFrame:
-    return df.select(*columns).limit(0)
-
-
 def broadcast_max_rows(df: DataFrame) -> int:
     v = df.sparkSession.conf.get(BROADCAST_MAX_ROWS_CONF, None)
     return int(v) if v else DEFAULT_BROADCAST_MAX_ROWS
@@ -106,20 +102,3 @@ def parse_measure(spec) -> Measure:
     kind, cut = m.group(1), m.group(2)
     kind = {"MAP": "AP", "NDCG": "nDCG", "ndcg": "nDCG", "MRR": "RR"}.get(kind, kind)
     return Measure(kind, int(cut) if cut is not None else None)
-
-
-def build_measures(metrics, ks) -> list[Measure]:
-    """Expand bare P / nDCG over the sorted positive ks; AP / MAP stay whole; no duplicates."""
-    unique_ks = sorted({int(k) for k in ks if int(k) > 0})
-    out: list[Measure] = []
-    for spec in metrics:
-        s = str(spec)
-        if "@" in s or s.strip() in {"AP", "MAP"}:
-            cands = [parse_measure(s)]
-        else:
-            base = parse_measure(s)
-            cands = [Measure(base.kind, k) for k in unique_ks] or [base]
-        for c in cands:
-            if c not in out:
-                out.append(c)
-    return out

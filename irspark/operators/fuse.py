@@ -53,13 +53,14 @@ def alpha_grid(spark, n: int = 21) -> DataFrame:
 
 def tune_alpha(bm25: DataFrame, vec: DataFrame, qrels: DataFrame, alphas: DataFrame | None = None,
                metric: str = "nDCG@20"):
-    """Evaluate every alpha in one grouped job; best = first (smallest) alpha with the max.
+    """Evaluate every alpha in one grouped job; best = first (smallest) alpha with the
+    largest metric at 1e-6, so that float noise does not decide.
     Returns (best one-row frame (alpha, metric), full table (alpha, metric))."""
     alphas = alphas if alphas is not None else alpha_grid(bm25.sparkSession)
     mixed = mix_runs_grid(bm25, vec, alphas)
     table = evaluate_run(mixed, qrels, [metric], group_cols=["alpha"], groups=alphas)
     best = table.agg(F.min_by(F.struct(F.col("alpha"), F.col(f"`{metric}`")),
-                              F.struct(-F.col(f"`{metric}`"), F.col("alpha"))).alias("b")).select("b.*")
+                              F.struct(-round6(F.col(f"`{metric}`")), F.col("alpha"))).alias("b")).select("b.*")
     return best, table
 
 

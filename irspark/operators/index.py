@@ -22,6 +22,9 @@ from ..contracts import id_str, require_columns, text_or_empty
 from ..functions.text import resolve_tokenizer, run_ends, run_lengths
 
 
+BUCKET_BYTES = 256 << 20   # input bytes per bucket of the forward index
+
+
 @dataclass
 class Index:
     postings: DataFrame   # doc_id STRING, term STRING, tf BIGINT, dl BIGINT
@@ -150,16 +153,35 @@ def tokenizer_key(tokenizer) -> str | None:
     return f"{getattr(tok, '__module__', '')}.{qn}"
 
 
+def input_files(docs: DataFrame) -> list[tuple[str, int, int]]:
+    """(path, length, modification time) of every input file, from the file system's own listing."""
+    jvm, conf = docs.sparkSession._jvm, docs.sparkSession._jsparkSession.sessionState().newHadoopConf()
+    out = []
+    for name in sorted(docs.inputFiles()):
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        status = path.getFileSystem(conf).getFileStatus(path)
+        out.append((name, status.getLen(), status.getModificationTime()))
+    return out
+
+
+def bucket_count(docs: DataFrame) -> int:
+    """Buckets of about BUCKET_BYTES of input, but one per core and shuffle partition at least."""
+    spark = docs.sparkSession
+    size = sum(n for _, n, _ in input_files(docs))
+    return max(-(-size // BUCKET_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions")),
+               spark.sparkContext.defaultParallelism)
+
+
 def index_key(docs: DataFrame, tokenizer, id_col: str, text_col: str) -> str | None:
-    """Reuse key: the documents' logical plan (``semanticHash``), their input files and the
-    tokenizer.  Files rewritten in place under the same names need ``reuse=False``."""
+    """Reuse key: the documents' logical plan (``semanticHash``), their input files (name,
+    length and modification time, so rewritten files give a new index) and the tokenizer."""
     tk = tokenizer_key(tokenizer)
-    files = sorted(docs.inputFiles())
+    files = input_files(docs)
     if tk is None or not files:  # in-memory frames have no stable identity: never reused
         return None
-    files = ",".join(files)
+    files = ",".join(map(str, files))
     # bump the version whenever the on-disk layout changes: stale layouts are never reused
-    raw = f"v4|{docs.semanticHash()}|{files}|{tk}|{id_col}|{text_col}"
+    raw = f"v5|{docs.semanticHash()}|{files}|{tk}|{id_col}|{text_col}"
     return hashlib.sha1(raw.encode("utf-8")).hexdigest()[:24]
 
 
@@ -182,7 +204,7 @@ def build_index(docs: DataFrame, tokenizer=None, id_col: str = "doc_id", text_co
     lineage is cut (a lost executor never re-runs the tokenizer).
 
     The forward index is written as a table bucketed by ``doc_id`` (``num_buckets``, default
-    the shuffle-partition count; on a cluster size it to about input bytes / 256 MB).
+    about one per 256 MB of input, see ``bucket_count``).
 
     With ``reuse`` an index already written for the same documents and tokenizer (same
     logical plan, input files and tokenizer name) is read back instead of rebuilt -- build
@@ -205,8 +227,7 @@ def build_index(docs: DataFrame, tokenizer=None, id_col: str = "doc_id", text_co
         return _derive(postings_from_terms(terms), terms.select("doc_id", "dl"))
     if path is None:
         path = os.path.join(spark.conf.get("spark.checkpoint.dir"), "irspark-indexes", uuid.uuid4().hex)
-    nb = int(num_buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                                spark.sparkContext.defaultParallelism))
+    nb = int(num_buckets or bucket_count(docs))
     # one shuffle at build time (rows of the forward index to their doc_id bucket, one file
     # per bucket) so that no query pays a (query, doc) aggregation shuffle later
     name = _table_name(path)
@@ -215,13 +236,15 @@ def build_index(docs: DataFrame, tokenizer=None, id_col: str = "doc_id", text_co
     t = spark.table(name)
     idx = _derive(postings_from_terms(t), t.select("doc_id", "dl"))
     idx.term_df.write.mode("overwrite").parquet(f"{path}/term_df")
+    idx = _derive(idx.postings, idx.doc_len, spark.read.parquet(f"{path}/term_df"))
     # stats last: its presence marks a complete index for reuse
     idx.stats.withColumn("n_buckets", F.lit(nb)).write.mode("overwrite").parquet(f"{path}/stats")
     return load_index(spark, path)
 
 
-def _derive(postings: DataFrame, doc_len: DataFrame) -> Index:
-    term_df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+def _derive(postings: DataFrame, doc_len: DataFrame, term_df: DataFrame | None = None) -> Index:
+    if term_df is None:
+        term_df = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     base = (doc_len.agg(F.count(F.lit(1)).alias("n_docs"),
                         F.coalesce(F.sum("dl"), F.lit(0)).cast("bigint").alias("total_len"))
             .withColumn("avgdl", F.try_divide(F.col("total_len").cast("double"), F.col("n_docs"))))

@@ -76,15 +76,18 @@ def bm25_matched(index: Index, qterms: DataFrame, k1: float = 1.2, b: float = 0.
     return m.select("query_id", "doc_id", "term", contrib.alias("contribution"))
 
 
-def _fill_zero_docs(index: Index, queries_ids: DataFrame, top: DataFrame, k: int) -> DataFrame:
+def _fill_zero_docs(index: Index, queries_ids: DataFrame, top: DataFrame, k: int, scores: DataFrame) -> DataFrame:
     """Reference ranks every document, so a query with fewer than k matches is padded with
     score-0 documents (lowest doc ids first) up to min(k, N) rows.
 
     ``top`` is the already cut top-k run (|Q| x k rows, checkpointed).  A query short of k
     rows there has ALL its matches in it, so the pad is: the first 2k doc ids (TakeOrdered,
     bounded) minus that query's rows.  Only short queries get a pad; the final cut is a
-    second top-k over at most |Q| x 3k rows.  Exact while no top-k score is negative (a
-    negative Okapi idf floor needs a corpus where the mean idf is below zero)."""
+    second top-k over at most |Q| x 3k rows.
+
+    When the mean Okapi idf is negative, matches may score below the documents without a match.
+    A query with such a row in its top-k is padded from the first k + m doc ids, m being the
+    largest number of matches of such a query, minus all its matches (``scores``)."""
     counts = top.groupBy("query_id").agg(F.count(F.lit(1)).alias("m"))
     short = (queries_ids.join(counts, "query_id", "left")
              .filter(F.coalesce(F.col("m"), F.lit(0)) < k).select("query_id"))
@@ -93,7 +96,15 @@ def _fill_zero_docs(index: Index, queries_ids: DataFrame, top: DataFrame, k: int
     pad = (short.crossJoin(F.broadcast(first_docs))
            .join(top.select("query_id", "doc_id"), ["query_id", "doc_id"], "left_anti")
            .withColumn("score", F.lit(0.0)))
-    return ranked_run(top.select("query_id", "doc_id", "score").unionByName(pad), k)
+    run = top.select("query_id", "doc_id", "score").unionByName(pad)
+    below = top.filter(F.col("score") < 0).select("query_id").distinct().checkpoint(eager=True)
+    if not below.isEmpty():
+        matched = scores.join(below, "query_id", "left_semi").select("query_id", "doc_id").checkpoint(eager=True)
+        most = matched.groupBy("query_id").agg(F.count(F.lit(1)).alias("m")).agg(F.max("m")).first()[0]
+        first = index.doc_len.select("doc_id").orderBy("doc_id").limit(k + most)
+        zeros = below.join(first).join(matched, ["query_id", "doc_id"], "left_anti").withColumn("score", F.lit(0.0))
+        run = run.unionByName(top_k(zeros, ["query_id"], [F.col("doc_id").asc()], k, None)).distinct()
+    return ranked_run(run, k)
 
 
 def bm25_retrieve(docs_or_index, queries: DataFrame, k: int = 10, tokenizer=None,
@@ -112,7 +123,7 @@ def bm25_retrieve(docs_or_index, queries: DataFrame, k: int = 10, tokenizer=None
     if not fill:
         return top
     qids = queries.select(id_str("query_id").alias("query_id")).distinct()
-    return _fill_zero_docs(index, qids, top.checkpoint(eager=True), k)
+    return _fill_zero_docs(index, qids, top.checkpoint(eager=True), k, scores)
 
 
 def bm25_score_pairs(pairs: DataFrame, docs_or_index, tokenizer=None, k1: float = 1.2, b: float = 0.75,
@@ -199,7 +210,7 @@ def tfidf_retrieve(docs_or_index, queries: DataFrame, k: int = 10, tokenizer=Non
     if not fill:
         return top
     qids = queries.select(id_str("query_id").alias("query_id")).distinct()
-    return _fill_zero_docs(index, qids, top.checkpoint(eager=True), k)
+    return _fill_zero_docs(index, qids, top.checkpoint(eager=True), k, scores)
 
 
 # ------------------------------------------------------------- sparse BM25 term weights

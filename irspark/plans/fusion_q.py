@@ -42,10 +42,11 @@ def q_minmax_by_query(spark, sf):
     return FU.minmax_by_query(bm25_hybrid(spark, sf)).select("query_id", "doc_id", round6("norm").alias("norm"))
 
 
-@register("mix_runs", f"WITH {BM25H} SELECT query_id, doc_id, round(0.5 * bn + 0.5 * vs, 6) score FROM fo")
+@register("mix_runs", f"WITH {BM25H} SELECT query_id, doc_id, round(0.5 * bn + 0.5 * vs, 7) score FROM fo")
 def q_mix_runs(spark, sf):
     m = FU.mix_runs(bm25_hybrid(spark, sf), vector_run(spark, sf, 20), 0.5)
-    return m.select("query_id", "doc_id", round6("score").alias("score"))
+    # half of a 6-digit score has 7 digits: reported in full, so that no tie is rounded
+    return m.select("query_id", "doc_id", F.round("score", 7).alias("score"))
 
 
 _MIX_EVAL = f"""WITH {BM25H},
@@ -61,7 +62,7 @@ t AS (SELECT alpha, avg(ndcg) v FROM pq GROUP BY ALL)"""
 
 
 @register("tune_alpha", _MIX_EVAL + """
-SELECT round(alpha, 6) alpha, round(v, 6) "nDCG@20", alpha = (SELECT arg_min(alpha, (-v, alpha)) FROM t) best FROM t""")
+SELECT round(alpha, 6) alpha, round(v, 6) "nDCG@20", alpha = (SELECT arg_min(alpha, (-round(v, 6), alpha)) FROM t) best FROM t""")
 def q_tune_alpha(spark, sf):
     """nDCG@20 of alpha * minmax(BM25) + (1 - alpha) * cosine for the 21-point grid, one job;
     ``best`` is the first (smallest) alpha reaching the maximum."""

@@ -55,3 +55,11 @@ def test_vector_topk_equals_brute_force(spark):
         exp = [str(j) for j in np.argsort(-s)[:7]]
         got = [r["doc_id"] for r in sorted((r for r in run if r["query_id"] == f"q{i}"), key=lambda r: -r["score"])]
         assert got == exp
+
+
+def test_vector_ties_go_by_doc_id(spark):
+    rows = [(f"{i:03d}", [1.0, 0.0] if i % 2 else [0.0, 1.0]) for i in range(80)]
+    d = spark.createDataFrame(rows, "item_id string, embedding array<double>").repartition(5)
+    q = spark.createDataFrame([("q", [1.0, 0.0])], "query_id string, embedding array<double>")
+    got = sorted(r["doc_id"] for r in V.vector_retrieve(q, d, 5).collect())
+    assert got == ["001", "003", "005", "007", "009"]

@@ -1,6 +1,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from irspark.functions.text import tok_whitespace
 from irspark.operators import lexical as lx
@@ -90,3 +91,19 @@ def test_sparse_pair_rows_sum_to_lucene_bm25(spark):
             exp += idf * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(toks[d]) / avgdl))
         got = sum(r["value"] for r in rows if r["doc_id"] == d)
         assert got == pytest.approx(exp, rel=1e-9)
+
+
+def test_zero_scores_rank_above_negative_matches(spark):
+    docs = spark.createDataFrame([("d1", "a b"), ("d2", "a b"), ("d3", "a b"), ("d4", "c")], "doc_id string, text string")
+    q = spark.createDataFrame([("q", "a")], "query_id string, text string")
+    run = lx.bm25_retrieve(docs, q, 2).orderBy(F.desc("score"), "doc_id").collect()
+    assert run[0]["doc_id"] == "d4" and run[0]["score"] == 0 and run[1]["doc_id"] == "d1" and run[1]["score"] < 0
+
+
+def test_rewritten_documents_give_a_new_index(spark, tmp_path):
+    q = spark.createDataFrame([("q", "new")], "query_id string, text string")
+    path = str(tmp_path / "docs")
+    for text, want in (("old word here", 0.0), ("new word", None)):
+        spark.createDataFrame([("d1", text), ("d2", "x y"), ("d3", "z")], "doc_id string, text string").coalesce(1).write.mode("overwrite").parquet(path)
+        score = lx.bm25_retrieve(spark.read.parquet(path), q, 1).first()["score"]
+        assert score == want if want is not None else score > 0
