@@ -117,13 +117,12 @@ def build_context(run: DataFrame, docs: DataFrame, n: int, sep: str = "\n\n", mo
     if mode in ("retrieval", "mixed"):
         r = top_k(run.select(id_str("query_id").alias("query_id"), id_str("doc_id").alias("doc_id"), "score"),
                   ["query_id"], [F.col("score").desc(), F.col("doc_id").asc()], n, "pos")
-        parts.append(r.select("query_id", "doc_id", (F.col("pos") + 1000000).alias("pos")))
+        parts.append(r.select("query_id", "doc_id", F.struct(F.lit(1).alias("src"), F.col("pos").cast("bigint").alias("n")).alias("pos")))
     if mode in ("oracle", "mixed"):
         if qrels is None:
             raise ValueError("oracle context needs qrels")
         g = qrels.filter(F.col("relevance") >= 1).select(id_str("query_id").alias("query_id"), id_str("doc_id").alias("doc_id"))
-        w = Window.partitionBy("query_id").orderBy("doc_id")
-        parts.append(g.withColumn("pos", F.row_number().over(w)))
+        parts.append(g.withColumn("pos", F.struct(F.lit(0).alias("src"), F.lit(0).cast("bigint").alias("n"))))
     allp = parts[0]
     for p in parts[1:]:
         allp = allp.unionByName(p)

@@ -1,5 +1,5 @@
 """Registered queries: min-max, alpha mixing and tuning, re-ranking, QA contexts, split
-evaluation and summaries.  Hybrid fixture: query i = benchmark item i = vector i (i < 20)."""
+evaluation and summaries.  Hybrid fixture: query i = benchmark item i = vector i, every item."""
 
 from __future__ import annotations
 
@@ -17,7 +17,7 @@ from . import sql as S
 from .registry import register
 from .retrieval_q import TFIDF_CTES, VD, VQ, WS_TOK, _ws_sql, vector_run
 
-HQ = "qt AS (SELECT CAST(item_id AS VARCHAR) query_id, " + S.ALNUM.format(c="text") + " toks FROM benchmark WHERE item_id < 20)"
+HQ = "qt AS (SELECT CAST(item_id AS VARCHAR) query_id, " + S.ALNUM.format(c="text") + " toks FROM benchmark)"
 BM25H = f"""{S.docs_tokens()}, {HQ}, {S.INDEX.strip()}, {S.QTERMS}, {S.bm25_scores().strip()}, {S.topk('s', 20, 'bm')},
 {VQ}, {VD}, vs AS (SELECT query_id, doc_id, list_cosine_similarity(vq.e, vd.e) score FROM vq, vd), {S.topk('vs', 20, 'vr')},
 mm AS (SELECT query_id, min(score) mn, max(score) mx FROM bm GROUP BY ALL),
@@ -26,15 +26,12 @@ fo AS (SELECT coalesce(bn.query_id, vr.query_id) query_id, coalesce(bn.doc_id, v
         coalesce(bn.bm25_norm, 0.0) bn, coalesce(vr.score, 0.0) vs FROM bn FULL OUTER JOIN vr USING (query_id, doc_id)),
 vqrels AS (SELECT CAST(q.vec_id AS VARCHAR) query_id, CAST(d.vec_id AS VARCHAR) doc_id,
         CASE WHEN q.vec_id % 2 = d.vec_id % 2 THEN 2 ELSE 1 END relevance
-        FROM embeddings q JOIN embeddings d ON q.label = d.label WHERE q.vec_id < 20 AND d.vec_id >= 20)"""
-
-
-def hybrid_queries(spark, sf):
-    return fx.queries(spark, sf).filter(F.col("query_id").cast("int") < 20)
+        FROM embeddings q JOIN embeddings d ON q.label = d.label
+        WHERE q.vec_id IN (SELECT item_id FROM benchmark) AND d.vec_id NOT IN (SELECT item_id FROM benchmark))"""
 
 
 def bm25_hybrid(spark, sf):
-    return lx.bm25_retrieve(fx.docs(spark, sf), hybrid_queries(spark, sf), 20)
+    return lx.bm25_retrieve(fx.docs(spark, sf), fx.queries(spark, sf), 20)
 
 
 @register("minmax_by_query", f"WITH {BM25H} SELECT query_id, doc_id, round(bm25_norm, 6) norm FROM bn")
@@ -128,7 +125,10 @@ _CTX = f"""WITH {BM25_ALL}, {S.QRELS_FIX},
 pos AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) p FROM run),
 parts AS (SELECT 'top1' mode, query_id, doc_id, p FROM pos WHERE p <= 1
           UNION ALL SELECT 'top5', query_id, doc_id, p FROM pos WHERE p <= 5
-          UNION ALL SELECT 'oracle', query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY doc_id) FROM qrels),
+          UNION ALL SELECT 'oracle', query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY doc_id) FROM qrels
+          UNION ALL SELECT 'mixed', query_id, doc_id, row_number() OVER (PARTITION BY query_id ORDER BY src, p, doc_id)
+            FROM (SELECT *, row_number() OVER (PARTITION BY query_id, doc_id ORDER BY src) again
+                  FROM (SELECT 0 src, query_id, doc_id, 0 p FROM qrels UNION ALL SELECT 1, query_id, doc_id, p FROM pos WHERE p <= 5)) WHERE again = 1),
 c AS (SELECT mode, query_id, count(*) n, string_agg(dd.text, chr(10) || chr(10) ORDER BY p, parts.doc_id) ctx
       FROM parts JOIN documents dd ON CAST(dd.doc_id AS VARCHAR) = parts.doc_id GROUP BY ALL)
 SELECT query_id, mode, CAST(n AS INTEGER) n_passages, md5(ctx) context_md5 FROM c"""
@@ -141,7 +141,8 @@ def q_build_context(spark, sf):
     a = FU.build_context(run, docs, 1).withColumn("mode", F.lit("top1"))
     b = FU.build_context(run, docs, 5).withColumn("mode", F.lit("top5"))
     c = FU.build_context(run, docs, 0, mode="oracle", qrels=fx.qrels(spark, sf))
-    out = a.unionByName(b).unionByName(c)
+    m = FU.build_context(run, docs, 5, mode="mixed", qrels=fx.qrels(spark, sf))
+    out = a.unionByName(b).unionByName(c).unionByName(m)
     return out.select("query_id", "mode", "n_passages", F.md5("context").alias("context_md5"))
 
 
@@ -152,8 +153,10 @@ def _eval_cols(names):
 
 _ALL = ["P@1", "P@10", "P@20", "AP@20", "nDCG@20"]
 _SPLIT_SQL = f"""WITH {BM25H},
-qs AS (SELECT CAST(item_id AS VARCHAR) query_id, CASE WHEN item_id % 10 < 6 THEN 'train' WHEN item_id % 10 < 8 THEN 'validation' ELSE 'test' END split FROM benchmark WHERE item_id < 20),
-runs AS (SELECT 'bm25' run_name, * FROM bm UNION ALL SELECT 'vector', * FROM vr UNION ALL SELECT 'mixed', query_id, doc_id, 0.5 * bn + 0.5 * vs FROM fo),
+qs AS (SELECT CAST(item_id AS VARCHAR) query_id, CASE WHEN item_id % 10 < 6 THEN 'train' WHEN item_id % 10 < 8 THEN 'validation' ELSE 'test' END split FROM benchmark),
+run AS (SELECT query_id, doc_id, 0.5 * bn + 0.5 * vs score FROM fo), {_rerank_ctes(10)},
+runs AS (SELECT 'bm25' run_name, * FROM bm UNION ALL SELECT 'vector', * FROM vr UNION ALL SELECT 'mixed', * FROM run
+  UNION ALL SELECT 'reranked', query_id, doc_id, -rank::DOUBLE FROM (SELECT * FROM hr UNION ALL SELECT * FROM rest)),
 sr AS (SELECT qs.split, runs.* FROM runs JOIN qs USING (query_id)),
 sq AS (SELECT qs.split, vqrels.* FROM vqrels JOIN qs USING (query_id)),
 jr AS (SELECT r.split, r.run_name, r.query_id, r.doc_id, r.score, coalesce(q.relevance, 0) rel, CASE WHEN coalesce(q.relevance, 0) >= 1 THEN 1 ELSE 0 END isrel
@@ -181,8 +184,10 @@ def q_eval_splits(spark, sf):
     bm = bm25_hybrid(spark, sf)
     vr = vector_run(spark, sf, 20)
     mixed = FU.mix_runs(bm, vr, 0.5)
-    qs = hybrid_queries(spark, sf)
-    runs = concat_splits({"bm25": bm, "vector": vr, "mixed": mixed}).withColumnRenamed("split", "run_name")
+    qs = fx.queries(spark, sf)
+    reranked = FU.rerank_run(mixed, qs, fx.docs(spark, sf), scorer(), 10)
+    reranked = reranked.select("query_id", "doc_id", (-F.col("rank")).cast("double").alias("score"))
+    runs = concat_splits({"bm25": bm, "vector": vr, "mixed": mixed, "reranked": reranked}).withColumnRenamed("split", "run_name")
     runs = runs.join(qs.select("query_id", "split"), "query_id")
     qrels = fx.vector_qrels(spark, sf).join(qs.select("query_id", "split"), "query_id")
     t = evaluate_run(runs, qrels, _ALL, group_cols=["split", "run_name"])

@@ -214,8 +214,8 @@ def q_two_field_bm25(spark, sf):
 
 
 # -------------------------------------------------------------------------------- vectors
-VQ = "vq AS (SELECT CAST(vec_id AS VARCHAR) query_id, embedding::DOUBLE[] e FROM embeddings WHERE vec_id < 20)"
-VD = "vd AS (SELECT CAST(vec_id AS VARCHAR) doc_id, embedding::DOUBLE[] e, label FROM embeddings WHERE vec_id >= 20)"
+VQ = "vq AS (SELECT CAST(vec_id AS VARCHAR) query_id, embedding::DOUBLE[] e FROM embeddings WHERE vec_id IN (SELECT item_id FROM benchmark))"
+VD = "vd AS (SELECT CAST(vec_id AS VARCHAR) doc_id, embedding::DOUBLE[] e, label FROM embeddings WHERE vec_id NOT IN (SELECT item_id FROM benchmark))"
 
 
 def vector_run(spark, sf, k=20, where=None):

@@ -106,19 +106,25 @@ def vectors(spark, sf_dir) -> DataFrame:
     return e.select(id_str("vec_id").alias("item_id"), "embedding", "label")
 
 
-def vector_queries(spark, sf_dir, n_queries: int = 20) -> DataFrame:
-    """Fixture split of the embeddings table: ids < n_queries act as queries."""
-    return vectors(spark, sf_dir).filter(F.col("item_id").cast("bigint") < n_queries)
+def _item_ids(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "benchmark").select(id_str("item_id").alias("item_id")).distinct()
 
 
-def vector_docs(spark, sf_dir, n_queries: int = 20) -> DataFrame:
-    return vectors(spark, sf_dir).filter(F.col("item_id").cast("bigint") >= n_queries)
+def vector_queries(spark, sf_dir) -> DataFrame:
+    """Vectors whose id is that of a benchmark item: query i is item i and vector i."""
+    return vectors(spark, sf_dir).join(_item_ids(spark, sf_dir), "item_id", "left_semi")
 
 
-def vector_qrels(spark, sf_dir, n_queries: int = 20) -> DataFrame:
-    """Graded: same label -> relevant; 2 when the id parity agrees, else 1.  Equi-join on label."""
-    q = vector_queries(spark, sf_dir, n_queries).select(F.col("item_id").alias("query_id"), "label")
-    d = vector_docs(spark, sf_dir, n_queries).select(F.col("item_id").alias("doc_id"), "label")
+def vector_docs(spark, sf_dir) -> DataFrame:
+    """All other vectors."""
+    return vectors(spark, sf_dir).join(_item_ids(spark, sf_dir), "item_id", "left_anti")
+
+
+def vector_qrels(spark, sf_dir) -> DataFrame:
+    """Graded: same label -> relevant; 2 when the id parity agrees, else 1.  Equi-join on label;
+    a collection judged by label has this many judgments."""
+    q = vector_queries(spark, sf_dir).select(F.col("item_id").alias("query_id"), "label")
+    d = vector_docs(spark, sf_dir).select(F.col("item_id").alias("doc_id"), "label")
     rel = F.when(F.col("query_id").cast("bigint") % 2 == F.col("doc_id").cast("bigint") % 2, 2).otherwise(1)
     return q.join(d, "label").select("query_id", "doc_id", rel.alias("relevance"))
 
@@ -133,11 +139,17 @@ def letor_lines(spark, sf_dir) -> DataFrame:
 
 
 def qa_rows(spark, sf_dir) -> DataFrame:
-    c = spread(table(spark, sf_dir, "conversations")).filter(F.col("role") == "assistant")
-    return c.select(F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("question_id"),
-                    F.concat(F.lit("m"), (F.col("conv_id") % 2).cast("string")).alias("model"),
-                    F.col("text").alias("prediction"),
-                    F.array(F.substring("text", 1, 12), F.col("text")).alias("golds"))
+    """One row per assistant turn.  Golds: the whole turn before it and the whole last assistant
+    turn of its conversation (equal to the prediction on that turn itself)."""
+    c = spread(table(spark, sf_dir, "conversations"))
+    a = c.filter(F.col("role") == "assistant")
+    before = c.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("text").alias("_before"))
+    last = a.groupBy("conv_id").agg(F.max_by("text", "turn").alias("_last"))
+    return (a.join(before, ["conv_id", "turn"], "left").join(last, "conv_id").select(
+        F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("question_id"),
+        F.concat(F.lit("m"), (F.col("conv_id") % 2).cast("string")).alias("model"),
+        F.when(F.col("turn") <= 2, "opening").otherwise("follow_up").alias("mode"),
+        F.col("text").alias("prediction"), F.array_compact(F.array("_before", "_last")).alias("golds")))
 
 
 def page_views(spark, sf_dir) -> DataFrame:
