@@ -250,7 +250,7 @@ def q_embed_texts(spark, sf):
     return v.select("doc_id", F.size("embedding").alias("dim"), round6(l2_norm("embedding")).alias("norm"))
 
 
-@register("paragraph_similarity", """WITH pr AS (SELECT CAST(doc_id AS VARCHAR) doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) p,
+_PARA_SQL = """WITH pr AS (SELECT CAST(doc_id AS VARCHAR) doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) p,
   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) pos FROM documents),
 pk AS (SELECT doc_id || '_' || row_number() OVER (PARTITION BY doc_id ORDER BY pos) para_id, source, p FROM pr WHERE trim(p) <> ''),
 tk AS (SELECT para_id, source, regexp_extract_all(lower(p), '[a-z0-9]+') toks FROM pk),
@@ -259,15 +259,27 @@ n AS (SELECT count(*)::DOUBLE n FROM tk),
 df AS (SELECT term, count(*) df FROM po GROUP BY ALL),
 idf AS (SELECT term, df, ln((1 + n) / (1 + df)) + 1 idf FROM df, n),
 nr AS (SELECT para_id, sqrt(sum((tf * idf) ^ 2)) dn FROM po JOIN idf USING (term) GROUP BY ALL),
-w AS (SELECT po.para_id, po.term, tf * idf / dn w, tk.source FROM po JOIN idf USING (term) JOIN nr USING (para_id) JOIN tk USING (para_id) WHERE df <= 200),
+w AS (SELECT po.para_id, po.term, tf * idf / dn w, tk.source FROM po JOIN idf USING (term) JOIN nr USING (para_id) JOIN tk USING (para_id)),
 s AS (SELECT a.para_id para_a, b.para_id para_b, round(sum(a.w * b.w), 6) score FROM w a JOIN w b ON a.term = b.term
-      WHERE a.para_id <> b.para_id AND a.source = b.source GROUP BY ALL)
-SELECT para_a, para_b, score, CAST(rank AS INTEGER) rank FROM (SELECT *, row_number() OVER (PARTITION BY para_a ORDER BY score DESC, para_b) rank FROM s) WHERE rank <= 3""")
-def q_paragraph_similarity(spark, sf):
-    """Top-3 most similar paragraphs (split on lines) of the same source, TF-IDF cosine over
-    terms with df <= 200 (bounded self-join per term)."""
+      WHERE a.para_id <> b.para_id AND a.source {op} b.source GROUP BY ALL)
+SELECT para_a, para_b, score, CAST(rank AS INTEGER) rank FROM (SELECT *, row_number() OVER (PARTITION BY para_a ORDER BY score DESC, para_b) rank FROM s) WHERE rank <= 3"""
+
+
+def _similar_paragraphs(spark, sf, scope):
     from ..sources.io import split_paragraphs
 
     paras = split_paragraphs(fx.docs(spark, sf), sep="\n").join(fx.docs(spark, sf).select("doc_id", "source"), "doc_id")
-    out = lx.similar_pairs(paras, k=3, max_df=200, group_col="source", scope="within")
+    out = lx.similar_pairs(paras, k=3, group_col="source", scope=scope)
     return out.select("para_a", "para_b", "score", F.col("rank").cast("int").alias("rank"))
+
+
+@register("paragraph_similarity", _PARA_SQL.format(op="="))
+def q_paragraph_similarity(spark, sf):
+    """Top-3 most similar paragraphs (split on lines) of the same source, TF-IDF cosine over all terms."""
+    return _similar_paragraphs(spark, sf, "within")
+
+
+@register("paragraph_similarity_across", _PARA_SQL.format(op="<>"))
+def q_paragraph_similarity_across(spark, sf):
+    """The same between paragraphs of different sources."""
+    return _similar_paragraphs(spark, sf, "across")
