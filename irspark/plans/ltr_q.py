@@ -189,7 +189,7 @@ def q_linear_ranker(spark, sf):
 def q_gbt_ranker(spark, sf):
     lab, cols = _judged_features(spark, sf)
     s = L.balanced_sample(lab)
-    model = L.fit_gbt_ranker(L.assemble(s, cols), max_iter=20)
+    model = L.fit_gbt_ranker(L.assemble(s, cols), max_iter=200)
     p = model.transform(L.assemble(lab, cols))
     return p.select("query_id", "doc_id", round6("prediction").alias("prediction"))
 
@@ -197,7 +197,7 @@ def q_gbt_ranker(spark, sf):
 @register("train_evaluate_rankers")
 def q_train_evaluate_rankers(spark, sf):
     lab, cols = _judged_features(spark, sf)
-    return L.train_and_evaluate(L.balanced_sample(lab), cols, gbt_iter=20)
+    return L.train_and_evaluate(L.balanced_sample(lab), cols, gbt_iter=200)
 
 
 @register("ltr_rerank_eval")
