@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 # "usually small" (query terms, qrels, grids).  Above it the join falls back to a shuffle.
 BROADCAST_MAX_ROWS_CONF = "irspark.broadcast.maxRows"
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+# The same in bytes of the rows' values (texts and vectors may be long).
+BROADCAST_MAX_BYTES_CONF = "irspark.broadcast.maxBytes"
+DEFAULT_BROADCAST_MAX_BYTES = 128 << 20
 
 RUN_COLUMNS = ("query_id", "doc_id", "score")
 
@@ -44,19 +47,36 @@ def broadcast_max_rows(df: DataFrame) -> int:
     return int(v) if v else DEFAULT_BROADCAST_MAX_ROWS
 
 
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes the values of a row take: texts and arrays by their length, others 16."""
+    total = F.lit(0).cast("bigint")
+    for name, kind in df.dtypes:
+        c = F.col(f"`{name}`")
+        if kind in ("string", "binary"):
+            size = F.octet_length(c) + 16
+        elif kind == "array<string>":
+            size = F.octet_length(F.array_join(c, "")) + 24 * F.size(c)
+        elif kind.startswith(("array", "map")):
+            size = 32 * F.size(c)
+        else:
+            size = F.lit(16)
+        total = total + F.coalesce(size.cast("bigint"), F.lit(16))
+    return total
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None, checkpoint: bool = False) -> DataFrame:
     """Broadcast ``df`` only when it is proven small; otherwise leave the join to a shuffle.
 
-    The check is ``limit(max_rows + 1).count()``: it stops as soon as the bound is exceeded.
-    With ``checkpoint`` the side is first written to the checkpoint folder (reliable
-    checkpoint), so the check and every later use read it instead of recomputing it.
+    Both rows and bytes are bounded.  Only the row sizes are read, and of those at most
+    ``max_rows + 1``.  With ``checkpoint`` the side is first written to the checkpoint folder
+    (reliable checkpoint), so the check and every later use read it instead of recomputing it.
     """
     bound = broadcast_max_rows(df) if max_rows is None else max_rows
+    most = int(df.sparkSession.conf.get(BROADCAST_MAX_BYTES_CONF, None) or DEFAULT_BROADCAST_MAX_BYTES)
     if checkpoint:
         df = df.checkpoint(eager=True)
-    if df.limit(bound + 1).count() <= bound:
-        return F.broadcast(df)
-    return df
+    seen = df.select(row_bytes(df).alias("b")).limit(bound + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum("b"), F.lit(0))).first()
+    return F.broadcast(df) if seen[0] <= bound and seen[1] <= most else df
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -102,3 +122,14 @@ def parse_measure(spec) -> Measure:
     kind, cut = m.group(1), m.group(2)
     kind = {"MAP": "AP", "NDCG": "nDCG", "ndcg": "nDCG", "MRR": "RR"}.get(kind, kind)
     return Measure(kind, int(cut) if cut is not None else None)
+
+
+def measures_at(metrics, ks) -> list[Measure]:
+    """The measures of a list of specs; a bare ``P`` or ``nDCG`` stands for one per positive depth in
+    ``ks`` (ascending).  Repeated measures count once, in their first place."""
+    depths = sorted({int(k) for k in ks if int(k) > 0})
+    out: dict[Measure, None] = {}
+    for m in map(parse_measure, metrics or DEFAULT_METRICS):
+        for cut in depths if m.kind in ("P", "nDCG") and m.cutoff is None else (m.cutoff,):
+            out[Measure(m.kind, cut)] = None
+    return list(out)

@@ -99,9 +99,9 @@ def per_query_metrics(run: DataFrame, qrels: DataFrame, metrics=None, group_cols
                 # literal grid x judged queries: the grid side is broadcast
                 base = ideal.join(F.broadcast(groups.select(*g)), qr_keep) if qr_keep else ideal.crossJoin(F.broadcast(groups.select(*g)))
             else:
-                run_groups = run.select(*g).distinct()
-                # run groups x judged queries; joined on the group keys the qrels share
-                base = run_groups.join(F.broadcast(ideal), qr_keep) if qr_keep else run_groups.crossJoin(F.broadcast(ideal))
+                # every run group x judged query is a row of the result; the groups are few
+                run_groups = bounded_broadcast(run.select(*g).distinct())
+                base = ideal.join(run_groups, qr_keep) if qr_keep else ideal.crossJoin(run_groups)
         else:
             base = ideal
         out = base.join(runq, [*g, "query_id"], "left")
@@ -138,12 +138,3 @@ def ndcg_at_k(df: DataFrame, score_col: str, k: int = 20, query_col: str = "quer
     qrels = df.select(F.col(query_col).alias("query_id"), F.col(doc_col).alias("doc_id"),
                       F.col(relevance_col).alias("relevance"))
     return evaluate_run(run, qrels, [f"nDCG@{k}"])
-
-
-def summarize(tables: dict[str, DataFrame], name_col: str = "method") -> DataFrame:
-    """Stack one-row metric frames into a methods x metrics comparison table."""
-    items = [t.withColumn(name_col, F.lit(n)) for n, t in tables.items()]
-    out = items[0]
-    for t in items[1:]:
-        out = out.unionByName(t, allowMissingColumns=True)
-    return out

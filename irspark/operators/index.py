@@ -62,20 +62,6 @@ class Index:
             df.write.mode("overwrite").parquet(target)
             return spark.read.parquet(target)
 
-    def materialize(self, path: str | None = None) -> "Index":
-        """Write a lazily built index (postings, lengths, df, stats) and read it back."""
-        spark = self.postings.sparkSession
-        if path is None:
-            path = os.path.join(spark.conf.get("spark.checkpoint.dir"), f"index-{uuid.uuid4().hex}")
-        terms = (self.postings.groupBy("doc_id", "dl")
-                 .agg(F.collect_list(F.struct("term", "tf")).alias("tc")))
-        terms = self.doc_len.join(terms.drop("dl"), "doc_id", "left").select(
-            "doc_id", "dl", F.coalesce("tc", F.array().cast("array<struct<term:string,tf:bigint>>")).alias("tc"))
-        terms.write.mode("overwrite").parquet(f"{path}/doc_terms")
-        self.term_df.write.mode("overwrite").parquet(f"{path}/term_df")
-        self.stats.write.mode("overwrite").parquet(f"{path}/stats")
-        return load_index(spark, path)
-
 
 def _table_name(path: str) -> str:
     return "irspark_doc_terms_" + hashlib.sha1(path.encode("utf-8")).hexdigest()[:16]

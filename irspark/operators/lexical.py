@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..contracts import bounded_broadcast, id_str, require_columns, round6, text_or_empty
 from .common import attach_scalars, ranked_run, top_k
+from .evaluate import evaluate_run
 from .index import Index, build_index, postings_from_tokens, tokenize
 
 RUN_SCHEMA = "query_id string, doc_id string, score double"
@@ -22,7 +23,10 @@ def _as_index(docs_or_index, tokenizer) -> Index:
     if isinstance(docs_or_index, Index):
         return docs_or_index
     require_columns(docs_or_index, {"doc_id", "text"}, "docs")
-    return build_index(docs_or_index, tokenizer)
+    index = build_index(docs_or_index, tokenizer)
+    if not index.stats.select("n_docs").first()["n_docs"]:
+        raise ValueError("docs is empty")
+    return index
 
 
 def query_terms(queries: DataFrame, tokenizer=None, id_col: str = "query_id", text_col: str = "text") -> DataFrame:
@@ -179,9 +183,11 @@ def tfidf_weights(index: Index) -> tuple[DataFrame, DataFrame]:
            .select("term", (F.ln((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1).alias("idf")))
 
     def norms_of(ix):
-        # postings x full-vocabulary idf, summed per document (bucketed by doc_id: no shuffle
-        # for the sum); corpus-level, so it is written once next to the index
-        return (ix.postings.join(idf, "term")
+        # postings x full-vocabulary idf, summed per document; corpus-level, so it is written once
+        # next to the index.  With an idf table within the broadcast bound nothing is shuffled
+        # (postings are bucketed by doc_id); beyond it postings are joined by term, hot terms
+        # being split by AQE, and summed by document.
+        return (ix.postings.join(bounded_broadcast(idf), "term")
                 .groupBy("doc_id").agg(F.sqrt(F.sum((F.col("tf") * F.col("idf")) ** 2)).alias("dnorm")))
 
     return idf, index.derived("tfidf_norms", norms_of)
@@ -275,6 +281,18 @@ def bm25_grid_runs(docs_or_index, queries: DataFrame, grid: DataFrame, k: int, t
     return top_k(s, ["k1", "b", "query_id"], [F.col("score").desc(), F.col("doc_id").asc()], k, None)
 
 
+def tune_bm25(docs_or_index, queries: DataFrame, qrels: DataFrame, grid: DataFrame, metric: str = "nDCG@20",
+              k: int = 20, tokenizer=None, epsilon: float = 0.25) -> tuple[float, float, DataFrame]:
+    """(k1, b, table): the first setting, in the order of k1 and b, that reaches the best value at 1e-6,
+    and the table (k1, b, metric) of the whole grid, evaluated in one job."""
+    runs = bm25_grid_runs(docs_or_index, queries, grid, k, tokenizer, epsilon)
+    judged = qrels.join(bounded_broadcast(queries.select(id_str("query_id").alias("query_id")).distinct()), "query_id", "left_semi")
+    table = evaluate_run(runs, judged, [metric], group_cols=["k1", "b"], groups=grid)
+    table = table.withColumn(metric, round6(F.col(f"`{metric}`"))).checkpoint(eager=True)  # one row a setting
+    best = table.orderBy(F.col(f"`{metric}`").desc(), "k1", "b").first()
+    return best["k1"], best["b"], table
+
+
 # ------------------------------------------------------------------------- multi-field
 
 def bm25_fields(docs: DataFrame, queries: DataFrame, fields: dict[str, str], weights: dict[str, float],

@@ -11,7 +11,8 @@ from ..operators import fuse as FU
 from ..operators import lexical as lx
 from ..operators.common import attach_scalars
 from ..operators.evaluate import evaluate_run
-from ..operators.sets import concat_splits, filter_run
+from ..operators.sets import concat_splits
+from ..pipelines import hybrid_experiment, lexical_experiment
 from ..sources import fixtures as fx
 from . import sql as S
 from .registry import register
@@ -46,8 +47,7 @@ def q_mix_runs(spark, sf):
     return m.select("query_id", "doc_id", F.round("score", 7).alias("score"))
 
 
-_MIX_EVAL = f"""WITH {BM25H},
-al AS (SELECT i * 0.05::DOUBLE alpha FROM range(21) t(i)),
+_ALPHAS = """al AS (SELECT i * 0.05::DOUBLE alpha FROM range(21) t(i)),
 mx AS (SELECT alpha, query_id, doc_id, alpha * bn + (1 - alpha) * vs score FROM fo, al),
 jr AS (SELECT m.alpha, m.query_id, m.doc_id, m.score, coalesce(q.relevance, 0) rel FROM mx m LEFT JOIN vqrels q USING (query_id, doc_id)),
 rr AS (SELECT *, row_number() OVER (PARTITION BY alpha, query_id ORDER BY score DESC, doc_id DESC) rk FROM jr),
@@ -55,10 +55,10 @@ rq AS (SELECT alpha, query_id, sum(CASE WHEN rk <= 20 THEN greatest(rel, 0)::DOU
 iq AS (SELECT query_id, sum(CASE WHEN irk <= 20 THEN greatest(relevance, 0)::DOUBLE / log2(irk + 1) ELSE 0 END) idcg
        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY relevance DESC) irk FROM vqrels) GROUP BY ALL),
 pq AS (SELECT al.alpha, iq.query_id, coalesce(rq.dcg / nullif(iq.idcg, 0), 0) ndcg FROM al CROSS JOIN iq LEFT JOIN rq ON rq.alpha = al.alpha AND rq.query_id = iq.query_id),
-t AS (SELECT alpha, avg(ndcg) v FROM pq GROUP BY ALL)"""
+t AS (SELECT alpha, avg(ndcg) v FROM pq {of} GROUP BY ALL)"""
 
 
-@register("tune_alpha", _MIX_EVAL + """
+@register("tune_alpha", f"WITH {BM25H}, " + _ALPHAS.format(of="") + """
 SELECT round(alpha, 6) alpha, round(v, 6) "nDCG@20", alpha = (SELECT arg_min(alpha, (-round(v, 6), alpha)) FROM t) best FROM t""")
 def q_tune_alpha(spark, sf):
     """nDCG@20 of alpha * minmax(BM25) + (1 - alpha) * cosine for the 21-point grid, one job;
@@ -152,9 +152,8 @@ def _eval_cols(names):
 
 
 _ALL = ["P@1", "P@10", "P@20", "AP@20", "nDCG@20"]
-_SPLIT_SQL = f"""WITH {BM25H},
-qs AS (SELECT CAST(item_id AS VARCHAR) query_id, CASE WHEN item_id % 10 < 6 THEN 'train' WHEN item_id % 10 < 8 THEN 'validation' ELSE 'test' END split FROM benchmark),
-run AS (SELECT query_id, doc_id, 0.5 * bn + 0.5 * vs score FROM fo), {_rerank_ctes(10)},
+_SPLITS = f"""qs AS (SELECT CAST(item_id AS VARCHAR) query_id, CASE WHEN item_id % 10 < 6 THEN 'train' WHEN item_id % 10 < 8 THEN 'validation' ELSE 'test' END split FROM benchmark),
+ba AS (@weight@), run AS (SELECT query_id, doc_id, a * bn + (1 - a) * vs score FROM fo, ba), {_rerank_ctes(10)},
 runs AS (SELECT 'bm25' run_name, * FROM bm UNION ALL SELECT 'vector', * FROM vr UNION ALL SELECT 'mixed', * FROM run
   UNION ALL SELECT 'reranked', query_id, doc_id, -rank::DOUBLE FROM (SELECT * FROM hr UNION ALL SELECT * FROM rest)),
 sr AS (SELECT qs.split, runs.* FROM runs JOIN qs USING (query_id)),
@@ -177,7 +176,7 @@ pq AS (SELECT rn.split, rn.run_name, iq.query_id, coalesce(rq."P@1", 0) "P@1", c
 SELECT split, run_name, {_eval_cols(_ALL)} FROM pq GROUP BY ALL"""
 
 
-@register("eval_splits", _SPLIT_SQL)
+@register("eval_splits", f"WITH {BM25H}, " + _SPLITS.replace("@weight@", "SELECT 0.5::DOUBLE a"))
 def q_eval_splits(spark, sf):
     """(split x run) metric rows in one grouped evaluation; each split is judged with its own
     qrels; a split without qrels or queries yields no row."""
@@ -194,8 +193,21 @@ def q_eval_splits(spark, sf):
     return t.select("split", "run_name", *[round6(F.col(f"`{n}`")).alias(n) for n in _ALL])
 
 
-_SUMMARY_SQL = f"""WITH {BM25_ALL}, {_ws_sql('wsr', 20)}, {S.QRELS_FIX}, {TFIDF_CTES},
-runs AS (SELECT 'bm25_alnum' method, * FROM run UNION ALL SELECT 'bm25_whitespace', * FROM wsr UNION ALL SELECT 'tfidf_whitespace', * FROM tfr),
+_TUNED = f"WITH {_ALPHAS.format(of='JOIN qs USING (query_id) WHERE qs.split = $$train$$')} SELECT arg_min(alpha, (-round(v, 6), alpha)) a FROM t"
+
+
+@register("hybrid_experiment", f"WITH {BM25H}, " + _SPLITS.replace("@weight@", _TUNED))
+def q_hybrid_experiment(spark, sf):
+    """The composed experiment: BM25 and vector runs, alpha tuned on the training queries, mixed,
+    re-ranked, and evaluated for each split and run."""
+    done = hybrid_experiment(fx.docs(spark, sf), fx.queries(spark, sf), fx.vector_qrels(spark, sf), fx.vector_docs(spark, sf),
+                             fx.vector_queries(spark, sf).withColumnRenamed("item_id", "query_id"), k=20, scorer=scorer(),
+                             rerank_k=10, metrics=_ALL)
+    return done.metrics.select("split", "run_name", *[round6(F.col(f"`{n}`")).alias(n) for n in _ALL])
+
+
+_METHODS = f"""{S.QRELS_FIX}, {TFIDF_CTES},
+runs AS (@runs@),
 jr AS (SELECT r.method, r.query_id, r.doc_id, r.score, coalesce(q.relevance, 0) rel, CASE WHEN coalesce(q.relevance, 0) >= 1 THEN 1 ELSE 0 END isrel
        FROM runs r LEFT JOIN qrels q USING (query_id, doc_id)),
 rr AS (SELECT *, row_number() OVER (PARTITION BY method, query_id ORDER BY score DESC, doc_id DESC) rk,
@@ -212,6 +224,19 @@ pq AS (SELECT rn.method, iq.query_id, coalesce(rq."P@1", 0) "P@1", coalesce(rq."
         coalesce(apn / nullif(nrel, 0), 0) "AP@20", coalesce(dcg / nullif(idcg, 0), 0) "nDCG@20"
        FROM rn CROSS JOIN iq LEFT JOIN rq ON rq.method = rn.method AND rq.query_id = iq.query_id)
 SELECT method, {_eval_cols(_ALL)} FROM pq GROUP BY ALL"""
+_SUMMARY_SQL = f"WITH {BM25_ALL}, {_ws_sql('wsr', 20)}, " + _METHODS.replace(
+    "@runs@", "SELECT 'bm25_alnum' method, * FROM run UNION ALL SELECT 'bm25_whitespace', * FROM wsr UNION ALL SELECT 'tfidf_whitespace', * FROM tfr")
+
+
+@register("lexical_experiment", f"WITH {_ws_sql('wsr', 20)}, " + _METHODS.replace(
+    "@runs@", "SELECT 'bm25' method, * FROM wsr UNION ALL SELECT 'tfidf', * FROM tfr").replace("SELECT method,", "SELECT method, count(*) n_queries,"))
+def q_lexical_experiment(spark, sf):
+    """The composed experiment: two retrievers, evaluated at the depths 1, 10 and 20, with the number
+    of judged queries."""
+    done = lexical_experiment(fx.docs(spark, sf), fx.queries(spark, sf), fx.qrels(spark, sf), ks=(1, 10, 20),
+                              metrics=["P", "AP@20", "nDCG@20"])
+    n = done.per_query.groupBy("method").agg(F.count(F.lit(1)).alias("n_queries"))
+    return done.metrics.join(n, "method").select("method", "n_queries", *[round6(F.col(f"`{c}`")).alias(c) for c in _ALL])
 
 
 @register("eval_summary", _SUMMARY_SQL)

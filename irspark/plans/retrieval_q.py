@@ -16,7 +16,7 @@ from ..operators.index import build_index
 from ..sources import fixtures as fx
 from . import sql as S
 from .registry import register
-from .text_q import WS
+from .text_q import WS, lemma_rule
 
 WS_TOK = WS.format(c="coalesce({c}, '')")
 
@@ -43,27 +43,54 @@ def q_bm25_fill(spark, sf):
     return lx.bm25_retrieve(fx.docs(spark, sf), fx.queries(spark, sf), K_FILL)
 
 
-@register("bm25_variants", f"""WITH {S.docs_tokens()}, {S.query_tokens()}, {S.INDEX.strip()}, {S.QTERMS},
-{S.bm25_scores().strip()}, {S.topk('s', 10, 'r1')},
-d2 AS (SELECT CAST(doc_id AS VARCHAR) doc_id, {STEM.format(c='text')} toks FROM documents),
-qt2 AS (SELECT CAST(item_id AS VARCHAR) query_id, {STEM.format(c='text')} toks FROM benchmark),
-dl2 AS (SELECT doc_id, len(toks) dl FROM d2),
-p2 AS (SELECT doc_id, term, count(*) tf FROM (SELECT doc_id, unnest(toks) term FROM d2) GROUP BY ALL),
-st2 AS (SELECT count(*)::DOUBLE n, sum(dl)::DOUBLE / count(*) avgdl FROM dl2),
-df2 AS (SELECT term, count(*) df FROM p2 GROUP BY ALL),
-q2 AS (SELECT query_id, term, count(*) qtf FROM (SELECT query_id, unnest(toks) term FROM qt2) GROUP BY ALL),
-i02 AS (SELECT term, ln(st2.n - df + 0.5) - ln(df + 0.5) raw FROM df2, st2),
-mi2 AS (SELECT avg(raw) m FROM i02),
-idf2 AS (SELECT term, CASE WHEN raw < 0 THEN 0.25 * m ELSE raw END idf FROM i02, mi2),
-s2 AS (SELECT q2.query_id, p2.doc_id, sum(q2.qtf * idf2.idf * p2.tf * 2.2 / (p2.tf + 1.2 * (0.25 + 0.75 * dl2.dl / st2.avgdl))) score
-       FROM q2 JOIN p2 USING (term) JOIN idf2 USING (term) JOIN dl2 USING (doc_id), st2 GROUP BY ALL),
-{S.topk('s2', 10, 'r2')}
-SELECT 'original' variant, * FROM r1 UNION ALL SELECT 'stemmed', * FROM r2""")
+def lemma_tok(c):
+    return F.transform(T.tok_alnum(c), lemma_rule)
+
+
+LEMMA = "list_transform(" + S.ALNUM + ", lambda w: regexp_replace(regexp_replace(w, 'ies$', 'y'), '([^s])s$', '\\1'))"
+VARIANTS = {"original": T.tok_alnum, "stemmed": stem_tok, "lemmatized": lemma_tok}
+
+
+def _variant_sql(n: str, tok: str) -> str:
+    """CTEs bm_{n} and tf_{n}: the BM25 and the TF-IDF top 10 of one collection variant."""
+    return f"""d_{n} AS (SELECT CAST(doc_id AS VARCHAR) doc_id, {tok.format(c='text')} toks FROM documents),
+qt_{n} AS (SELECT CAST(item_id AS VARCHAR) query_id, {tok.format(c='text')} toks FROM benchmark),
+dl_{n} AS (SELECT doc_id, len(toks) dl FROM d_{n}),
+p_{n} AS (SELECT doc_id, term, count(*) tf FROM (SELECT doc_id, unnest(toks) term FROM d_{n}) GROUP BY ALL),
+st_{n} AS (SELECT count(*)::DOUBLE n, sum(dl)::DOUBLE / count(*) avgdl FROM dl_{n}),
+df_{n} AS (SELECT term, count(*) df FROM p_{n} GROUP BY ALL),
+q_{n} AS (SELECT query_id, term, count(*) qtf FROM (SELECT query_id, unnest(toks) term FROM qt_{n}) GROUP BY ALL),
+raw_{n} AS (SELECT term, ln(n - df + 0.5) - ln(df + 0.5) raw, ln((1 + n) / (1 + df)) + 1 ti FROM df_{n}, st_{n}),
+idf_{n} AS (SELECT term, CASE WHEN raw < 0 THEN 0.25 * (SELECT avg(raw) FROM raw_{n}) ELSE raw END idf, ti FROM raw_{n}),
+b_{n} AS (SELECT q.query_id, p.doc_id, sum(q.qtf * i.idf * p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * dl / avgdl))) score
+  FROM q_{n} q JOIN p_{n} p USING (term) JOIN idf_{n} i USING (term) JOIN dl_{n} USING (doc_id), st_{n} GROUP BY ALL),
+dn_{n} AS (SELECT doc_id, sqrt(sum((tf * ti) ^ 2)) dn FROM p_{n} JOIN idf_{n} USING (term) GROUP BY ALL),
+qn_{n} AS (SELECT query_id, sqrt(sum((qtf * ti) ^ 2)) qn FROM q_{n} JOIN idf_{n} USING (term) GROUP BY ALL),
+t_{n} AS (SELECT query_id, doc_id, sum(qtf * ti * tf * ti) / (max(qn) * max(dn)) score FROM q_{n} JOIN p_{n} USING (term)
+  JOIN idf_{n} USING (term) JOIN qn_{n} USING (query_id) JOIN dn_{n} USING (doc_id) GROUP BY ALL),
+{S.topk(f'b_{n}', 10, f'bm_{n}')}, {S.topk(f't_{n}', 10, f'tf_{n}')}"""
+
+
+_VARIANT_CTES = "WITH " + ", ".join(_variant_sql(n, t) for n, t in (("original", S.ALNUM), ("stemmed", STEM), ("lemmatized", LEMMA)))
+
+
+def _variant_union(prefix: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{n}' variant, * FROM {prefix}_{n}" for n in VARIANTS)
+
+
+@register("bm25_variants", f"{_VARIANT_CTES} {_variant_union('bm')}")
 def q_bm25_variants(spark, sf):
-    return lx.run_variants(fx.docs(spark, sf), fx.queries(spark, sf), {"original": T.tok_alnum, "stemmed": stem_tok}, 10)
+    """BM25 over the original, stemmed and lemmatized collection, queries processed alike."""
+    return lx.run_variants(fx.docs(spark, sf), fx.queries(spark, sf), VARIANTS, 10)
 
 
-# whitespace-tokenised BM25 (the hw02/hw03 default tokenizer) as candidate generator
+@register("tfidf_variants", f"{_VARIANT_CTES} {_variant_union('tf')}")
+def q_tfidf_variants(spark, sf):
+    """TF-IDF cosine over the same three collections."""
+    return lx.run_variants(fx.docs(spark, sf), fx.queries(spark, sf), VARIANTS, 10, retriever=lx.tfidf_retrieve)
+
+
+# whitespace-tokenised BM25 as candidate generator
 def _ws_sql(name_prefix: str, k: int) -> str:
     return f"""dw AS (SELECT CAST(doc_id AS VARCHAR) doc_id, {WS_TOK.format(c='text')} toks FROM documents),
 qw AS (SELECT CAST(item_id AS VARCHAR) query_id, {WS_TOK.format(c='text')} toks FROM benchmark),
@@ -150,38 +177,52 @@ GRID = [(k1, b) for k1 in (0.9, 1.2, 1.5) for b in (0.5, 0.75, 1.0)]
 _GRID_SQL = " UNION ALL ".join(f"SELECT {k1}::DOUBLE k1, {b}::DOUBLE b" for k1, b in GRID)
 
 
-@register("bm25_grid", f"""WITH {S.docs_tokens()}, {S.query_tokens()}, {S.INDEX.strip()}, {S.QTERMS},
+_GRID_CTES = f"""WITH {S.docs_tokens()}, {S.query_tokens()}, {S.INDEX.strip()}, {S.QTERMS},
 {S.QUERIES_FIX}, {S.QRELS_FIX},
 idf0 AS (SELECT term, ln(st.n - df + 0.5) - ln(df + 0.5) raw FROM df, st),
 mi AS (SELECT avg(raw) m FROM idf0),
 idf AS (SELECT term, CASE WHEN raw < 0 THEN 0.25 * m ELSE raw END idf FROM idf0, mi),
 g AS ({_GRID_SQL}),
-vq AS (SELECT query_id FROM qs WHERE split = 'validation'),
+vq AS (SELECT query_id, split FROM qs WHERE split <> 'train'),
 s AS (SELECT g.k1, g.b, q.query_id, p.doc_id, sum(q.qtf * idf.idf * p.tf * (g.k1 + 1) / (p.tf + g.k1 * (1 - g.b + g.b * dl.dl / st.avgdl))) score
       FROM q JOIN vq USING (query_id) JOIN p USING (term) JOIN idf USING (term) JOIN dl USING (doc_id), st, g GROUP BY ALL),
 run AS (SELECT k1, b, query_id, doc_id, score FROM (SELECT k1, b, query_id, doc_id, round(score, 6) score,
         row_number() OVER (PARTITION BY k1, b, query_id ORDER BY round(score, 6) DESC, doc_id) rk FROM s) WHERE rk <= 20),
-vqr AS (SELECT * FROM qrels WHERE query_id IN (SELECT query_id FROM vq)),
+vqr AS (SELECT qrels.*, vq.split FROM qrels JOIN vq USING (query_id)),
 jr AS (SELECT r.k1, r.b, r.query_id, r.doc_id, r.score, coalesce(x.relevance, 0) rel FROM run r LEFT JOIN vqr x USING (query_id, doc_id)),
 rr AS (SELECT *, row_number() OVER (PARTITION BY k1, b, query_id ORDER BY score DESC, doc_id DESC) rk FROM jr),
 rq AS (SELECT k1, b, query_id, sum(CASE WHEN rk <= 20 THEN greatest(rel, 0)::DOUBLE / log2(rk + 1) ELSE 0 END) dcg FROM rr GROUP BY ALL),
-iq AS (SELECT query_id, sum(CASE WHEN irk <= 20 THEN greatest(relevance, 0)::DOUBLE / log2(irk + 1) ELSE 0 END) idcg
+iq AS (SELECT split, query_id, sum(CASE WHEN irk <= 20 THEN greatest(relevance, 0)::DOUBLE / log2(irk + 1) ELSE 0 END) idcg
        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY relevance DESC) irk FROM vqr) GROUP BY ALL),
-pq AS (SELECT g.k1, g.b, iq.query_id, coalesce(rq.dcg / nullif(iq.idcg, 0), 0) ndcg FROM g CROSS JOIN iq LEFT JOIN rq ON rq.k1 = g.k1 AND rq.b = g.b AND rq.query_id = iq.query_id),
-t AS (SELECT k1, b, avg(ndcg) v FROM pq GROUP BY ALL)
-SELECT k1, b, round(v, 6) "nDCG@20", (k1, b) = (SELECT arg_min((k1, b), (-v, k1, b)) FROM t) best FROM t""")
+pq AS (SELECT g.k1, g.b, iq.split, iq.query_id, coalesce(rq.dcg / nullif(iq.idcg, 0), 0) ndcg FROM g CROSS JOIN iq LEFT JOIN rq ON rq.k1 = g.k1 AND rq.b = g.b AND rq.query_id = iq.query_id),
+t AS (SELECT k1, b, round(avg(ndcg) FILTER (split = 'validation'), 6) v, round(avg(ndcg) FILTER (split = 'test'), 6) w FROM pq GROUP BY ALL),
+top AS (SELECT * FROM t ORDER BY v DESC, k1, b LIMIT 1)"""
+
+
+def _tuned(spark, sf):
+    val = fx.queries(spark, sf).filter(F.col("split") == "validation")
+    grid = spark.createDataFrame(GRID, "k1 double, b double")
+    return lx.tune_bm25(fx.docs(spark, sf), val, fx.qrels(spark, sf), grid)
+
+
+@register("bm25_grid", _GRID_CTES + ' SELECT t.k1, t.b, t.v "nDCG@20", (t.k1 = top.k1 AND t.b = top.b) best FROM t, top')
 def q_bm25_grid(spark, sf):
     """nDCG@20 of every (k1, b) on the validation queries in one job; ``best`` marks the
     first best setting (ties: smallest k1, then b)."""
-    qs = fx.queries(spark, sf)
-    val = qs.filter(F.col("split") == "validation")
-    grid = spark.createDataFrame(GRID, "k1 double, b double")
-    runs = lx.bm25_grid_runs(fx.docs(spark, sf), val, grid, 20)
-    qrels = fx.qrels(spark, sf).join(val.select("query_id"), "query_id", "left_semi")
-    t = evaluate_run(runs, qrels, ["nDCG@20"], group_cols=["k1", "b"], groups=grid)
-    best = t.agg(F.min_by(F.struct("k1", "b"), F.struct(-F.col("`nDCG@20`"), F.col("k1"), F.col("b"))).alias("w"))
-    return (attach_scalars(t, best).select("k1", "b", round6(F.col("`nDCG@20`")).alias("nDCG@20"),
-                                     ((F.col("k1") == F.col("w.k1")) & (F.col("b") == F.col("w.b"))).alias("best")))
+    k1, b, table = _tuned(spark, sf)
+    return table.select("k1", "b", "`nDCG@20`", ((F.col("k1") == k1) & (F.col("b") == b)).alias("best"))
+
+
+@register("bm25_grid_test", _GRID_CTES + ' SELECT k1, b, v validation, w test FROM top')
+def q_bm25_grid_test(spark, sf):
+    """The best setting of the validation queries, run once more on the test queries."""
+    k1, b, table = _tuned(spark, sf)
+    test = fx.queries(spark, sf).filter(F.col("split") == "test")
+    run = lx.bm25_retrieve(fx.docs(spark, sf), test, 20, k1=k1, b=b)
+    qrels = fx.qrels(spark, sf).join(test.select("query_id"), "query_id", "left_semi")
+    t = evaluate_run(run, qrels, ["nDCG@20"]).select(round6(F.col("`nDCG@20`")).alias("test"))
+    best = table.filter((F.col("k1") == k1) & (F.col("b") == b))
+    return attach_scalars(best.select("k1", "b", F.col("`nDCG@20`").alias("validation")), t)
 
 
 _FIELD = """{n}_d AS (SELECT CAST(doc_id AS VARCHAR) doc_id, {tok} toks FROM documents),
@@ -246,7 +287,7 @@ def q_l2_normalize(spark, sf):
 @register("embed_texts")
 def q_embed_texts(spark, sf):
     """Spark-trained Word2Vec document vectors (unit length); rows-only check."""
-    _, v = V.embed_texts(fx.docs(spark, sf), dim=16, max_iter=1)
+    _, v = V.embed_texts(fx.docs(spark, sf))
     return v.select("doc_id", F.size("embedding").alias("dim"), round6(l2_norm("embedding")).alias("norm"))
 
 

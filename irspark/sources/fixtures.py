@@ -1,4 +1,4 @@
-"""Derive the reference's frames (docs, queries, qrels, vectors ...) from the driver tables.
+"""Derive the frames of the registered queries (docs, queries, qrels, vectors ...) from the driver tables.
 
 All derivations are Spark jobs over the given parquet tables; nothing is synthesised.
 """

@@ -1,6 +1,6 @@
 """Structured Streaming entry points.
 
-The reference has no streaming operators; every input there is a finished frame.  The only
+Every other operator takes finished frames.  The only
 streaming use here is to feed micro-batches of *queries* through the same batch retrieval
 operators against a written index (``foreachBatch``), with an idempotent sink keyed by the
 micro-batch id so a retried batch overwrites, never duplicates.
