@@ -12,7 +12,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import id_str, spread
+from ..contracts import bounded_broadcast, id_str, spread
+from ..functions.text import tok_alnum
+from ..operators.index import build_index, input_files
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
@@ -37,51 +39,26 @@ def queries(spark, sf_dir) -> DataFrame:
     return b.select(id_str("item_id").alias("query_id"), "text", split.alias("split"))
 
 
-def _contains_partition(patterns_bc):
-    """mapInPandas body: one Aho-Corasick pass per document finds every pattern it contains."""
-    def run(batches):
-        import ahocorasick
-        import pandas as pd
-
-        pats = patterns_bc.value
-        auto = ahocorasick.Automaton()
-        for pid, text in pats:
-            if text:
-                if text in auto:
-                    auto.get(text).append(pid)
-                else:
-                    auto.add_word(text, [pid])
-        auto.make_automaton() if len(auto) else None
-        for pdf in batches:
-            out_q, out_d = [], []
-            if len(auto):
-                for did, text in zip(pdf["doc_id"], pdf["text"]):
-                    if text is None:
-                        continue
-                    seen = set()
-                    for _, ids in auto.iter(text):
-                        for pid in ids:
-                            if pid not in seen:
-                                seen.add(pid)
-                                out_q.append(pid)
-                                out_d.append(did)
-            yield pd.DataFrame({"query_id": out_q, "doc_id": out_d})
-    return run
-
-
-def containment_pairs(docs_df: DataFrame, patterns: DataFrame, max_patterns: int = 1_000_000) -> DataFrame:
-    """All (query_id, doc_id) with ``contains(doc.text, query.text)``.
-
-    No pair product: the pattern set (a query set, bounded and checked) is broadcast and every
-    document is scanned once by an Aho-Corasick automaton inside its own task.
+def containment_pairs(docs_df: DataFrame, patterns: DataFrame) -> DataFrame:
+    """All (query_id, doc_id) with ``contains(doc.text, query.text)``; null and empty texts match nothing.
+
+    The tokens strictly inside a pattern are whole tokens of every text that contains it.  So the
+    postings of its rarest inner token name the candidates, and only those are compared.  Patterns
+    of fewer than three tokens have none; they are compared with every document.
     """
-    spark = docs_df.sparkSession
-    n = patterns.limit(max_patterns + 1).count()
-    if n > max_patterns:
-        raise ValueError(f"pattern set larger than {max_patterns}; split it")
-    pats = [(r["query_id"], r["text"]) for r in patterns.select("query_id", "text").collect()]
-    bc = spark.sparkContext.broadcast(pats)
-    return docs_df.select("doc_id", "text").mapInPandas(_contains_partition(bc), "query_id string, doc_id string")
+    docs_df = docs_df.select("doc_id", "text")
+    index = build_index(docs_df)
+    pats = patterns.filter("text <> ''").select("query_id", F.col("text").alias("pattern"), tok_alnum(F.col("text")).alias("_t"))
+    inner = pats.select("query_id", F.explode(F.array_distinct(F.slice("_t", F.lit(2), F.greatest(F.size("_t") - 2, F.lit(0))))).alias("term"))
+    by = F.struct(F.coalesce("df", F.lit(0)).alias("df"), F.col("term").alias("t"))
+    rare = inner.join(index.term_df, "term", "left").groupBy("query_id").agg(F.min_by("term", by).alias("term"))
+    cands = (index.postings.select("doc_id", "term").join(bounded_broadcast(rare, checkpoint=True), "term")
+             .select("query_id", "doc_id").distinct())
+    long = (docs_df.join(bounded_broadcast(cands, checkpoint=True), "doc_id")
+            .join(bounded_broadcast(pats.select("query_id", "pattern")), "query_id"))
+    short = docs_df.crossJoin(bounded_broadcast(pats.filter(F.size("_t") < 3).select("query_id", "pattern")))
+    both = long.select("query_id", "doc_id", "text", "pattern").unionByName(short)
+    return both.filter(F.contains("text", "pattern")).select("query_id", "doc_id")
 
 
 def qrels(spark, sf_dir) -> DataFrame:
@@ -90,8 +67,7 @@ def qrels(spark, sf_dir) -> DataFrame:
     Derived once per pair of input tables and written under the checkpoint folder (like a
     qrels file); later calls read the written judgments."""
     d, b = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    key = hashlib.sha1("|".join(["qrels-v1", spark.sparkContext.applicationId, *sorted(d.inputFiles()),
-                                 *sorted(b.inputFiles())]).encode("utf-8")).hexdigest()[:24]
+    key = hashlib.sha1(repr(["qrels-v2", input_files(d), input_files(b)]).encode("utf-8")).hexdigest()[:24]
     path = os.path.join(spark.conf.get("spark.checkpoint.dir"), "irspark-fixtures", key)
     try:
         return spark.read.parquet(path)

@@ -63,3 +63,28 @@ def test_vector_ties_go_by_doc_id(spark):
     q = spark.createDataFrame([("q", [1.0, 0.0])], "query_id string, embedding array<double>")
     got = sorted(r["doc_id"] for r in V.vector_retrieve(q, d, 5).collect())
     assert got == ["001", "003", "005", "007", "009"]
+
+
+def test_vector_topk_over_several_query_blocks_and_slices(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    D, Q = rng.normal(size=(200, 4)).round(1), rng.normal(size=(23, 4)).round(1)
+    docs = spark.createDataFrame([(f"{i:03d}", D[i].tolist()) for i in range(200)], "item_id string, embedding array<double>").repartition(3)
+    qs = spark.createDataFrame([(f"q{i}", Q[i].tolist()) for i in range(23)], "query_id string, embedding array<double>")
+    whole = sorted(map(tuple, V.vector_retrieve(qs, docs, 5).collect()))
+    monkeypatch.setattr(V, "QUERY_BLOCK", 6)
+    assert sorted(map(tuple, V.vector_retrieve(qs, docs, 5).collect())) == whole and len(whole) == 23 * 5
+
+
+def test_containment_pairs_equal_brute_force(spark):
+    import random
+
+    from irspark.sources.fixtures import containment_pairs
+
+    rnd = random.Random(5)
+    words = ["ab", "Cd", "ef", "gh", "ij", "kl", "é", "ab-cd"]
+    texts = [" ".join(rnd.choice(words) for _ in range(rnd.randint(0, 12))) for _ in range(80)] + [None, "", "x" * 50]
+    pats = [t[rnd.randint(0, 3):][:rnd.randint(1, 20)] for t in texts[:40] if t] + ["b C", "-", " ", "", None, "zz zz zz zz", "xx"]
+    docs = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "doc_id string, text string")
+    qs = spark.createDataFrame([(str(i), t) for i, t in enumerate(pats)], "query_id string, text string")
+    got = sorted(map(tuple, containment_pairs(docs, qs).collect()))
+    assert got == sorted((str(i), str(j)) for i, p in enumerate(pats) if p for j, t in enumerate(texts) if t and p in t)
