@@ -1,7 +1,9 @@
 """Sharding by balanced label propagation.
 
-Linked documents start spread evenly over the shards and then move, round by round, towards the
-shard that holds most of their neighbours.  Moves between two shards are matched against moves the
+Groups of equal texts are contracted to one weighted node each and packed whole; a group is split only
+where no shard has room for all of it.  Linked documents without such a start are spread evenly over
+the shards.  Linked documents then move, round by round, towards the shard that holds most of their
+neighbours.  Moves between two shards are matched against moves the
 other way and the free room of the target, so no shard ever exceeds its quota of rows.  Documents
 without links have no preference: they fill what the linked ones leave, so that in the end the row
 counts of any two shards differ by one at most.
@@ -34,19 +36,79 @@ def allowed_moves(wanted: dict[tuple[int, int], int], load: list[int], quota: li
     return grant
 
 
+def pack(groups: list[tuple[int, int]], room: list[int]) -> list[tuple[int, int, int, int]]:
+    """(group, first, last, shard) of the pieces of each (group, rows), the largest groups first: whole into
+    the fullest shard that still holds it, else cut over the emptiest shards.  Places count from 1.
+    Takes what is used from ``room``."""
+    out = []
+    for group, n in sorted(groups, key=lambda x: (-x[1], x[0])):
+        fits = [s for s in range(len(room)) if room[s] >= n]
+        first = 1
+        while first <= n:
+            s = min(fits, key=lambda s: (room[s], s)) if fits else max(range(len(room)), key=lambda s: (room[s], -s))
+            last = min(n, first + room[s] - 1)
+            out.append((group, first, last, s))
+            room[s] -= last - first + 1
+            first = last + 1
+    return out
+
+
+def _segment(place, room: list[int]):
+    """The shard whose segment holds a place (from 1) when the shards' rooms stand in line; null beyond."""
+    ends = [sum(room[:s + 1]) for s in range(len(room))]
+    shard = F.lit(None).cast("int")
+    for s in reversed(range(len(room))):
+        shard = F.when(place <= ends[s], s).otherwise(shard)
+    return shard
+
+
+def pack_groups(members: DataFrame, sizes: DataFrame, quota: list[int]) -> DataFrame:
+    """(id, shard) of all members: each group whole in one shard as far as the quotas allow.
+
+    ``members`` has id, grp and n (rows of the group); ``sizes`` has grp and n.  Groups of over a
+    thousandth of a quota, a bounded number, are packed largest first.  The others stand in line, and a
+    group goes where its first row falls; each shard keeps room for the rest of its last group.  What is
+    beyond that fills the rooms row by row, so that at most one small group is split at each shard's end.
+    """
+    spark, room = members.sparkSession, list(quota)
+    small = max(1, min(quota) // 1000)
+    pieces = pack([(r["grp"], r["n"]) for r in sizes.where(F.col("n") > small).collect()], room)
+    table = F.broadcast(spark.createDataFrame(pieces, "grp long, first long, last long, shard int"))
+    split = sorted({p[0] for p in pieces if p[1] > 1})
+    big = members.where(F.col("n") > small).select("id", "grp")
+    in_split = F.col("grp").isin(split) if split else F.lit(False)
+    placed = big.where(~in_split).join(table, "grp").select("id", "shard")
+    if split:
+        placed = placed.unionByName(_ranked(big.where(in_split), ["grp"], ["id"]).join(table, "grp")
+                                    .where("place BETWEEN first AND last").select("id", "shard"))
+    if small == 1:                                               # no group is small
+        return placed
+    line = cut(_ranked(members.where(F.col("n") <= small).select("id", "grp", F.xxhash64("grp").alias("h")), [], ["h", "grp", "id"]))
+    whole = [max(0, x - small + 1) for x in room]
+    starts = line.groupBy("grp").agg(F.min("place").alias("start"))
+    line = cut(line.join(starts, "grp").select("id", "grp", "h", _segment(F.col("start"), whole).alias("shard")))
+    for r in line.where("shard IS NOT NULL").groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect():
+        room[r["shard"]] -= r["n"]
+    rest = _ranked(line.where("shard IS NULL").select("id", "grp", "h"), [], ["h", "grp", "id"])
+    return (placed.unionByName(line.where("shard IS NOT NULL").select("id", "shard"))
+            .unionByName(rest.select("id", _segment(F.col("place"), room).alias("shard"))))
+
+
 def _ranked(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
     return global_rank(df, group, order, "place")
 
 
-def propagate(nodes: DataFrame, edges: DataFrame, shards: int, quota: list[int], rounds: int = 8) -> DataFrame:
+def propagate(nodes: DataFrame, edges: DataFrame, shards: int, quota: list[int], rounds: int = 8,
+              start: DataFrame | None = None) -> DataFrame:
     """(id, shard) of the linked nodes: the balanced label propagation proper.
 
+    ``start`` (id, shard) places every node within the quotas; without it they start spread evenly.
     ``edges`` (a, b) name nodes, once each and in either direction.  A node that gains neighbours by
     moving wants to move; in the first round only nodes with a smaller neighbour do, later a random
     half in each round, so that neighbours do not swap places for ever.  Ends when no move would
     gain anything or after ``rounds`` rounds.
     """
-    state = cut(_ranked(nodes.select("id", F.xxhash64("id").alias("h")), [], ["h", "id"])
+    state = cut(start) if start is not None else cut(_ranked(nodes.select("id", F.xxhash64("id").alias("h")), [], ["h", "id"])
                 .select("id", F.pmod(F.col("place") - 1, F.lit(shards)).cast("int").alias("shard")))
     both = edges.select(F.inline(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("other")),
                                          F.struct(F.col("b").alias("id"), F.col("a").alias("other")))))
@@ -68,6 +130,8 @@ def propagate(nodes: DataFrame, edges: DataFrame, shards: int, quota: list[int],
         wanted = {(x["frm"], x["to"]): x["n"] for x in active.groupBy("frm", "to").agg(F.count(F.lit(1)).alias("n")).collect()}
         load = {x["shard"]: x["n"] for x in state.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
         grant = allowed_moves(wanted, [load.get(s, 0) for s in range(shards)], quota)
+        if not any(grant.values()):
+            continue
         short = sorted(k for k in wanted if grant[k] < wanted[k])
         if short:   # of these only the moves that gain most go
             key = F.struct("frm", "to")
@@ -80,12 +144,13 @@ def propagate(nodes: DataFrame, edges: DataFrame, shards: int, quota: list[int],
     return state
 
 
-def balanced_shards(nodes: DataFrame, edges: DataFrame, shards: int, rounds: int = 8) -> DataFrame:
+def balanced_shards(nodes: DataFrame, edges: DataFrame, shards: int, rounds: int = 8,
+                    start: DataFrame | None = None) -> DataFrame:
     """(id, shard, slot) of every node: row counts of shards at most one apart, linked nodes together
     as far as the quotas allow, ``slot`` gapless from 0 within a shard by id.
 
     ``nodes`` has a distinct, non-null ``id``; ``edges`` has ``a`` and ``b`` (null ends and unknown ids are
-    ignored).  No nodes give no rows.
+    ignored).  ``start`` is that of ``propagate``.  No nodes give no rows.
     """
     nodes = cut(nodes.select("id"))
     quota = quotas(nodes.count(), shards)
@@ -93,7 +158,7 @@ def balanced_shards(nodes: DataFrame, edges: DataFrame, shards: int, rounds: int
     known = nodes.select(F.col("id").alias("a"))
     edges = cut(edges.join(known, "a").join(known.withColumnRenamed("a", "b"), "b").select("a", "b"))
     linked = cut(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct())
-    placed = propagate(linked, edges, shards, quota, rounds)
+    placed = propagate(linked, edges, shards, quota, rounds, start)
     load = {x["shard"]: x["n"] for x in placed.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
     # the rest, in order, fills the free room of shard 0, then 1, and so on
     free = _ranked(nodes.join(linked, "id", "left_anti").select("id", F.xxhash64("id").alias("h")), [], ["h", "id"])
@@ -114,7 +179,8 @@ def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", t
 
     Documents of equal texts are linked: each to the smallest id among those of its text and of its id
     modulo ``fan``, and those to the smallest of all, so no document gathers all links of a large group.
-    A group larger than a shard's quota is spread, as the law demands.
+    Groups start packed whole (``pack_groups``).  A group larger than a shard's quota is spread over as
+    few shards as have room, as the law demands.
 
     Null text counts as empty (size 1, CRC 0) and equals it.  Rows that repeat an id are placed on
     their own; their order among themselves is that of their checksums.  Null ids are placed too.
@@ -128,10 +194,13 @@ def shard_documents(docs: DataFrame, shards: int = 16, id_col: str = "doc_id", t
     rows = cut(_ranked(rows, [], ["doc_id", "text_crc32", "sha"]).withColumnRenamed("place", "id"))
     hubs = rows.groupBy("sha", F.pmod("id", F.lit(fan)).alias("part")).agg(F.min("id").alias("hub"), F.count(F.lit(1)).alias("n"))
     tops = hubs.groupBy("sha").agg(F.min("hub").alias("top"), F.sum("n").alias("n")).where("n > 1")
-    hubs = cut(hubs.join(tops.drop("n"), "sha").select("sha", "part", "hub", "top"))
-    members = (rows.select("id", "sha", F.pmod("id", F.lit(fan)).alias("part")).join(hubs, ["sha", "part"])
-               .select(F.col("id").alias("a"), F.col("hub").alias("b")))
-    edges = members.unionByName(hubs.select(F.col("hub").alias("a"), F.col("top").alias("b")))
-    placed = balanced_shards(rows, edges, shards, rounds)
+    tops = cut(tops)
+    hubs = cut(hubs.drop("n").join(tops, "sha").select("sha", "part", "hub", "top", "n"))
+    members = cut(rows.select("id", "sha", F.pmod("id", F.lit(fan)).alias("part")).join(hubs, ["sha", "part"])
+                  .select("id", "hub", F.col("top").alias("grp"), "n"))
+    start = pack_groups(members, tops.select(F.col("top").alias("grp"), "n"), quotas(rows.count(), shards))
+    edges = members.select(F.col("id").alias("a"), F.col("hub").alias("b")).unionByName(
+        hubs.select(F.col("hub").alias("a"), F.col("top").alias("b")))
+    placed = balanced_shards(rows, edges, shards, rounds, start)
     return rows.join(placed, "id").select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                                           F.lit(None).cast("int").alias("grown_shard"))

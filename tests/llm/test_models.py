@@ -91,6 +91,29 @@ def test_shards_are_even_and_keep_groups(spark):
     assert shard_documents(documents(spark, []), 5).count() == 0
 
 
+def test_groups_that_fit_a_shard_stay_whole(spark):
+    sizes = [5000, 3000, 2000, 1000, 700, 500, 500, *[3] * 2000]
+    rows = [t for g, n in enumerate(sizes) for t in [f"group {g}"] * n] + [f"single {i}" for i in range(96_000 - sum(sizes))]
+    random.Random(5).shuffle(rows)
+    got = shard_documents(documents(spark, [(i, t, "en") for i, t in enumerate(rows)]), 16).select("doc_id", "shard").collect()
+    assert len(got) == len(rows) and set(Counter(r["shard"] for r in got).values()) == {6000}
+    shards = {}
+    for r in got:
+        shards.setdefault(rows[r["doc_id"]], set()).add(r["shard"])
+    assert all(len(s) == 1 for s in shards.values())
+
+
+def test_crowded_groups_are_split_only_at_the_ends(spark):
+    rows = [f"group {g}" for g in range(8000) for _ in range(4)]
+    random.Random(6).shuffle(rows)                                  # no single row to fill a gap
+    got = shard_documents(documents(spark, [(i, t, "en") for i, t in enumerate(rows)]), 3).select("doc_id", "shard").collect()
+    assert sorted(Counter(r["shard"] for r in got).values()) == [10666, 10667, 10667]
+    shards = {}
+    for r in got:
+        shards.setdefault(rows[r["doc_id"]], set()).add(r["shard"])
+    assert sum(len(s) > 1 for s in shards.values()) <= 2
+
+
 def test_moves_respect_quotas():
     rng = random.Random(8)
     for _ in range(200):
