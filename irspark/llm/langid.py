@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import bounded_sample, map_batches
+from .frames import map_batches
 from .text import as_bytes, blocks, slices
 
 BITS = 12                            # trigrams are hashed into 2**BITS classes
@@ -111,21 +111,21 @@ def _partials(batches):
                                          ["lang", "class", "n"])
 
 
-def train_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-                    max_rows: int = 20_000, max_languages: int = 500) -> LanguageModel:
-    """Trigram probabilities of each non-null value of ``lang_col``, from about ``max_rows`` labelled rows
-    (all, if there are fewer), whole texts.  The model has as many rows as languages, so more than
-    ``max_languages`` distinct values are refused with an error rather than cut."""
+def train_languages(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
+                    max_languages: int = 500) -> LanguageModel:
+    """Trigram probabilities of each non-null value of ``lang_col``, from all labelled rows, whole texts.
+    The model has as many rows as languages, so more than ``max_languages`` distinct values are refused
+    with an error rather than cut."""
     known = docs.where(F.col(lang_col).isNotNull()).select(F.col(lang_col).cast("string").alias("lang"),
-                                                          F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"))
-    sample = bounded_sample(known, "id", max_rows).select("lang", "text")
-    counts = (map_batches(sample, _partials, "lang string, class long, n long")
-              .groupBy("lang", "class").agg(F.sum("n").alias("n")))
-    names = sorted(r["lang"] for r in counts.select("lang").distinct().limit(max_languages + 1).collect())
-    if len(names) > max_languages:
+                                                          F.col(text_col).cast("string").alias("text"))
+    # refused before any counting, as a task keeps the counts of every language that it sees
+    if len(known.select("lang").distinct().limit(max_languages + 1).collect()) > max_languages:
         raise ValueError(f"{lang_col} has more than {max_languages} values")
-    table = np.full((1 << BITS, len(names)), 0.5)
+    counts = (map_batches(known, _partials, "lang string, class long, n long")
+              .groupBy("lang", "class").agg(F.sum("n").alias("n")))
     rows = counts.toPandas()                                        # languages x classes at most
+    names = sorted(rows["lang"].unique())
+    table = np.full((1 << BITS, len(names)), 0.5)
     table[rows["class"], rows["lang"].map({x: i for i, x in enumerate(names)}).to_numpy(int)] += rows["n"]
     return LanguageModel(names, (table / table.sum(axis=0)).astype(np.float32))
 

@@ -146,6 +146,16 @@ def test_mixtures_find_both_languages(spark):
     assert class_counts(b"ab " * 700_000).sum() == 1_400_000
 
 
+def test_rare_languages_are_learned_from_many_rows(spark):
+    rare = [f"r{i:02}" for i in range(20)]                             # one labelled row each among 60,000
+    word = lambda x: " ".join([chr(0x430 + int(x[1:])) * 3 + "ж"] * 20)
+    rows = [(i, "the of and", "en") for i in range(60_000)] + [(60_000 + i, word(x), x) for i, x in enumerate(rare)]
+    model = train_languages(documents(spark, rows))
+    assert model.languages == ["en", *rare]
+    got = {r["doc_id"]: r["lang_pred"] for r in language_mixtures(documents(spark, rows[60_000:]), model).collect()}
+    assert got == {60_000 + i: x for i, x in enumerate(rare)}
+
+
 def test_mixture_is_the_best_of_a_fine_grid():
     rng = np.random.default_rng(2)
     p = rng.dirichlet(np.ones(4096) * 0.05, 2).T.astype(np.float32) + 1e-7
