@@ -13,6 +13,7 @@ from .decontam import contaminated
 from .exact_dedup import exact_dedup
 from .frames import cut, remainder
 from .langid import language_mixtures, train_languages
+from .packing import pack_windows, token_pieces
 from .pieces import encode_pieces
 from .quality import document_statistics, quality_scores, train_quality
 from .secrets import ACCESS, ASSIGN, ENDPOINT, HEX, WEAK_ACCESS, WEAK_SECRET, secret_scan
@@ -158,3 +159,10 @@ def op4_suffix_tree(spark, sf_dir):
     model, words = train_suffix_tree(docs.where(~held))
     return suffix_tree_scores(docs, model, words).select(
         "doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@register("op11_packing")
+def op11_packing(spark, sf_dir):
+    """Pieces of every document in sequences of 2048 tokens, best fit decreasing."""
+    pieces = token_pieces(table(spark, sf_dir, "documents"))
+    return pack_windows(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"))
