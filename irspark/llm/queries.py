@@ -9,12 +9,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .centroids import centroid_clusters
 from .decontam import contaminated
 from .exact_dedup import exact_dedup
 from .frames import cut, remainder
 from .langid import language_mixtures, train_languages
 from .packing import pack_windows, token_pieces
 from .pieces import encode_pieces
+from .prefix_trie import prefix_trie, shared_heads, turn_arrays
 from .quality import document_statistics, quality_scores, train_quality
 from .secrets import ACCESS, ASSIGN, ENDPOINT, HEX, WEAK_ACCESS, WEAK_SECRET, secret_scan
 from .sharding import shard_documents
@@ -166,3 +168,59 @@ def op11_packing(spark, sf_dir):
     """Pieces of every document in sequences of 2048 tokens, best fit decreasing."""
     pieces = token_pieces(table(spark, sf_dir, "documents"))
     return pack_windows(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens"))
+
+
+def _clusters_sql(clusters: int = 16, rounds: int = 3, components: int = 64, scale: int = 64) -> str:
+    ctes = [f"""kept AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id,
+  list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE len(embedding) = {components} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {components})""",
+            f"""c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS c, q FROM (
+  SELECT sha256('1:' || vec_id) AS h, q FROM kept ORDER BY h LIMIT {clusters}))"""]
+    for t in range(rounds + 1):
+        ctes.append(f"""a{t} AS MATERIALIZED (SELECT r, vec_id, q, c, d FROM (
+  SELECT r, vec_id, k.q, c, list_sum(list_transform(range(1, {components + 1}), lambda i: (k.q[i] - z.q[i]) * (k.q[i] - z.q[i]))) AS d
+  FROM kept k CROSS JOIN c{t} z) QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1)""")
+        if t < rounds:
+            ctes.append(f"""c{t + 1} AS MATERIALIZED (SELECT c, coalesce(m.q, o.q) AS q FROM c{t} o LEFT JOIN (
+  SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS q FROM (
+    SELECT c, i, CAST(sum(x) AS BIGINT) AS s, count(*) AS n FROM (
+      SELECT c, unnest(q) AS x, unnest(range({components})) AS i FROM a{t}) GROUP BY c, i) GROUP BY c) m USING (c))""")
+    return f"""WITH {", ".join(ctes)}
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, CAST(d AS BIGINT) AS distance, CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(z.q, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} z USING (c)"""
+
+
+@register("op12_centroids", _clusters_sql())
+def op12_centroids(spark, sf_dir):
+    """Cluster of every kept vector after three rounds over 16 centroids."""
+    found = centroid_clusters(table(spark, sf_dir, "embeddings"))
+    return found.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256).alias("centroid_sha256"))
+
+
+# CRC-32 bit by bit: a list of the bytes, each followed by eight steps (-1); 3988292384 is its polynomial
+_CRC = """xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(string_split(CAST(conv_id AS VARCHAR), ''),
+  lambda s: [CAST(ascii(s) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295)"""
+
+
+@register("op13_prefix_trie", f"""
+WITH t AS (SELECT conv_id, {{'r': coalesce(role, ''), 'x': coalesce(text, '')}} AS v,
+  row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS k FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(v ORDER BY k) AS l FROM t GROUP BY conv_id),
+h AS (SELECT conv_id, l, {_CRC} % 6 AS h FROM own),
+f AS (SELECT h.conv_id, list_concat(coalesce(b.l, [])[1:h.h], h.l[h.h + 1:]) AS l FROM h LEFT JOIN own b ON b.conv_id = h.conv_id - h.conv_id % 100),
+p AS (SELECT conv_id, len(l) = d AS e, d, l[1:d] AS p FROM (SELECT conv_id, l, unnest(range(len(l) + 1)) AS d FROM f)),
+n AS (SELECT d, p, min(conv_id) AS conv_id, count(*) AS n,
+  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (e), '')) AS s FROM p GROUP BY d, p),
+c AS (SELECT p[1:d - 1] AS p, count(*) AS c FROM n WHERE d > 0 GROUP BY 1),
+g AS (SELECT n.*, coalesce(c.c, 0) AS c, CASE WHEN d > 0 THEN (n.n - 1) * length(n.p[d].x) ELSE 0 END AS saved FROM n LEFT JOIN c ON c.p = n.p),
+a AS (SELECT p[1:i] AS p, sum(CASE WHEN c = 0 THEN 1 ELSE 0 END) AS leaves, sum(saved) AS saved
+  FROM (SELECT p, c, saved, unnest(range(d + 1)) AS i FROM g) GROUP BY 1)
+SELECT g.conv_id, g.d AS depth, u.conv_id AS parent_conv_id, g.n AS n_convs, g.c AS n_children, CAST(a.leaves AS BIGINT) AS n_leaves,
+  CAST(a.saved AS BIGINT) AS saved_tokens, g.s AS ends_sha256
+FROM g JOIN a ON a.p = g.p LEFT JOIN n u ON g.d > 0 AND u.d = g.d - 1 AND u.p = g.p[1:g.d - 1]""")
+def op13_prefix_trie(spark, sf_dir):
+    """Every node of the trie of the conversations, rebuilt with shared first turns."""
+    return prefix_trie(shared_heads(turn_arrays(table(spark, sf_dir, "conversations"))))
