@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..contracts import round6
@@ -35,3 +37,16 @@ def ranked_run(scores: DataFrame, k: int, tie: str = "asc", keep_rank: bool = Fa
     out = top_k(s, ["query_id"], [F.col("score").desc(), tie_col], k)
     cols = ["query_id", "doc_id", "score"] + (["rank"] if keep_rank else [])
     return out.select(*cols)
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, most_bytes: int):
+    """While it lasts, Arrow batches sent to Python hold at most ``most_bytes``: for jobs run inside, whose
+    rows are large.  The session's own setting comes back at the end."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(most_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)

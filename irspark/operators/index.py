@@ -5,6 +5,9 @@ document row (:func:`irspark.functions.text.term_counts`), so building the index
 shuffle.  Document frequency is one ``groupBy(term)`` with map-side partial counts, so a
 term that occurs in every document costs one row per map task, not one per document.
 Corpus scalars (N, total length, avgdl) are a one-row frame joined by broadcast.
+
+A second copy of the postings is clustered by term, written when a query batch first asks for a small
+share of them.  Such batches read the files and row groups of their terms only.
 """
 
 from __future__ import annotations
@@ -23,6 +26,15 @@ from ..functions.text import resolve_tokenizer, run_ends, run_lengths
 
 
 BUCKET_BYTES = 256 << 20   # input bytes per bucket of the forward index
+CHUNK_POSTINGS = 4 << 20   # postings per file of the copy clustered by term
+ROW_GROUP_BYTES = 8 << 20  # and bytes of its row groups, whose statistics say which terms they hold
+MAX_LOOKUP_TERMS = 1 << 16  # terms of a query batch that the driver looks up in the file bounds
+MAX_INTERVALS = 64         # term intervals of one pushed filter
+
+# Which copy of the postings a query batch reads: 'documents' (the forward index), 'terms' (the copy
+# clustered by term), or 'auto': by term when the batch asks for at most LOOKUP_SHARE of all postings.
+LAYOUT_CONF = "irspark.postings.layout"
+LOOKUP_SHARE = 0.25
 
 
 @dataclass
@@ -30,7 +42,7 @@ class Index:
     postings: DataFrame   # doc_id STRING, term STRING, tf BIGINT, dl BIGINT
     doc_len: DataFrame    # doc_id STRING, dl BIGINT  (every document, empty ones included)
     term_df: DataFrame    # term STRING, df BIGINT
-    stats: DataFrame      # one row: n_docs, total_len, avgdl, n_terms, mean_okapi_idf
+    stats: DataFrame      # one row: n_docs, total_len, avgdl, n_terms, mean_okapi_idf, n_postings
     path: str | None = None  # where the index is written (None for a lazy index)
 
     def derived(self, name: str, build) -> DataFrame:
@@ -63,6 +75,73 @@ class Index:
             return spark.read.parquet(target)
 
 
+    def by_term(self) -> tuple[DataFrame, list]:
+        """(term, doc_id, tf, dl, chunk) sorted by term, one file a chunk, and (chunk, first, last) of each
+        file in that order.  Written next to the index the first time.  A frequent term goes over as many
+        files as its postings fill.  The list of files is written last and marks a complete copy."""
+        spark, target = self.postings.sparkSession, f"{self.path}/by_term"
+        try:
+            files = spark.read.parquet(f"{target}_files")
+        except AnalysisException:
+            n = self.stats.select("n_postings").first()["n_postings"] or 0
+            chunks = max(spark.sparkContext.defaultParallelism, -(-n // CHUNK_POSTINGS))
+            (self.postings.repartitionByRange(chunks, "term", "doc_id").withColumn("chunk", F.spark_partition_id())
+             .sortWithinPartitions("chunk", "term", "doc_id").select("term", "doc_id", "tf", "dl", "chunk")
+             .write.mode("overwrite").option("parquet.block.size", ROW_GROUP_BYTES).partitionBy("chunk").parquet(target))
+            (spark.read.schema(BY_TERM).parquet(target).groupBy("chunk").agg(F.min("term").alias("first"), F.max("term").alias("last"))
+             .coalesce(1).write.mode("overwrite").parquet(f"{target}_files"))
+            files = spark.read.parquet(f"{target}_files")
+        bounds = sorted((r["first"], r["last"], r["chunk"]) for r in files.collect())   # one row per file
+        return spark.read.schema(BY_TERM).parquet(target), [(c, first, last) for first, last, c in bounds]
+
+    def lookup(self, terms: DataFrame) -> DataFrame | None:
+        """The part of the copy clustered by term that can hold ``terms``: partition filters choose the
+        files, pushed filters their row groups.  None when the batch asks for too much of the index."""
+        layout = self.postings.sparkSession.conf.get(LAYOUT_CONF, "auto")
+        if self.path is None or layout == "documents":
+            return None
+        terms = terms.select("term").distinct()
+        found = (self.term_df.join(terms, "term").select("term", "df").limit(MAX_LOOKUP_TERMS + 1).collect())
+        if len(found) > MAX_LOOKUP_TERMS:
+            return None
+        asked, there = sum(r["df"] for r in found), self.stats.select("n_postings").first()["n_postings"] or 0
+        if layout != "terms" and asked > LOOKUP_SHARE * there:
+            return None
+        if not found:
+            return self.postings.where(F.lit(False))
+        table, files = self.by_term()
+        wanted = sorted(r["term"] for r in found)
+        return table.where(_term_filter(wanted, files)).drop("chunk")
+
+    def matching(self, side: DataFrame) -> DataFrame:
+        """Postings joined on ``term`` with the rows of a query side (checkpointed by the caller), from
+        whichever copy of the postings the batch reads less of."""
+        some = self.lookup(side)
+        return (self.postings if some is None else some).join(side, "term")
+
+
+BY_TERM = "term string, doc_id string, tf bigint, dl bigint, chunk int"
+
+
+def _term_filter(wanted: list[str], files: list):
+    """Files and term intervals that hold the sorted terms.  Neighbouring terms share an interval when
+    there are more than MAX_INTERVALS; what it holds besides them the join drops."""
+    chunks, at = [], 0
+    for chunk, first, last in files:                      # both lists ascend
+        while at < len(wanted) and wanted[at] < first:
+            at += 1
+        if at < len(wanted) and wanted[at] <= last:
+            chunks.append(chunk)
+    if not chunks:
+        return F.lit(False)
+    step = -(-len(wanted) // MAX_INTERVALS)
+    inside = F.lit(False)
+    for i in range(0, len(wanted), step):
+        low, high = wanted[i], wanted[min(i + step, len(wanted)) - 1]
+        inside = inside | ((F.col("term") == low) if low == high else F.col("term").between(low, high))
+    return F.col("chunk").isin(chunks) & inside
+
+
 def _table_name(path: str) -> str:
     return "irspark_doc_terms_" + hashlib.sha1(path.encode("utf-8")).hexdigest()[:16]
 
@@ -167,7 +246,7 @@ def index_key(docs: DataFrame, tokenizer, id_col: str, text_col: str) -> str | N
         return None
     files = ",".join(map(str, files))
     # bump the version whenever the on-disk layout changes: stale layouts are never reused
-    raw = f"v5|{docs.semanticHash()}|{files}|{tk}|{id_col}|{text_col}"
+    raw = f"v6|{docs.semanticHash()}|{files}|{tk}|{id_col}|{text_col}"
     return hashlib.sha1(raw.encode("utf-8")).hexdigest()[:24]
 
 
@@ -237,7 +316,7 @@ def _derive(postings: DataFrame, doc_len: DataFrame, term_df: DataFrame | None =
     # vocabulary-wide scalars that scorers need (Okapi idf floor uses the mean raw idf)
     raw_idf = F.ln(F.col("n_docs") - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)
     vocab = (term_df.crossJoin(F.broadcast(base.select("n_docs")))
-             .agg(F.count(F.lit(1)).alias("n_terms"), F.avg(raw_idf).alias("mean_okapi_idf")))
+             .agg(F.count(F.lit(1)).alias("n_terms"), F.avg(raw_idf).alias("mean_okapi_idf"), F.sum("df").alias("n_postings")))
     stats = base.crossJoin(F.broadcast(vocab))  # one row x one row
     return Index(postings, doc_len, term_df, stats)
 

@@ -75,7 +75,7 @@ def bm25_matched(index: Index, qterms: DataFrame, k1: float = 1.2, b: float = 0.
                  epsilon: float = 0.25, q: DataFrame | None = None) -> DataFrame:
     """(query_id, doc_id, term, contribution) for every posting that matches a query term."""
     q = bm25_query_side(index, qterms, epsilon) if q is None else q
-    m = attach_scalars(index.postings.join(q, "term"), index.stats.select("avgdl"))
+    m = attach_scalars(index.matching(q), index.stats.select("avgdl"))
     contrib = F.col("qtf") * F.col("idf") * _bm25_tf_part(k1, b)
     return m.select("query_id", "doc_id", "term", contrib.alias("contribution"))
 
@@ -207,7 +207,7 @@ def tfidf_retrieve(docs_or_index, queries: DataFrame, k: int = 10, tokenizer=Non
     qw = qterms.join(qidf, "term").withColumn("qw", F.col("qtf") * F.col("idf"))
     qnorm = qw.groupBy("query_id").agg(F.sqrt(F.sum(F.col("qw") ** 2)).alias("qnorm"))
     qw = bounded_broadcast(qw.join(qnorm, "query_id").select("query_id", "term", "qw", "idf", "qnorm"), checkpoint=True)
-    m = index.postings.join(qw, "term")
+    m = index.matching(qw)
     dot = m.groupBy("query_id", "doc_id").agg(F.sum(F.col("qw") * F.col("tf") * F.col("idf")).alias("dot"),
                                               F.max("qnorm").alias("qnorm"))
     scores = (dot.join(norms, "doc_id")
@@ -267,7 +267,7 @@ def bm25_grid_scores(docs_or_index, queries: DataFrame, grid: DataFrame, tokeniz
     once and the small literal grid is broadcast onto them.  -> (k1, b, query_id, doc_id, score)."""
     index = _as_index(docs_or_index, tokenizer)
     q = bm25_query_side(index, query_terms(queries, tokenizer), epsilon)
-    m = attach_scalars(index.postings.join(q, "term"), index.stats.select("avgdl"))
+    m = attach_scalars(index.matching(q), index.stats.select("avgdl"))
     m = m.crossJoin(F.broadcast(grid.select("k1", "b")))  # grid: a driver literal of a few dozen rows
     tf, dl = F.col("tf").cast("double"), F.col("dl").cast("double")
     contrib = F.col("qtf") * F.col("idf") * tf * (F.col("k1") + 1) / (

@@ -16,6 +16,7 @@ from .functions.text import tok_whitespace
 from .operators import fuse, ltr
 from .operators.evaluate import evaluate_run
 from .operators.lexical import bm25_candidates, bm25_retrieve, tfidf_retrieve
+from .operators.rankers import fit_lambda_trees, fit_pairwise
 from .operators.sets import concat_splits
 from .operators.vector import vector_retrieve
 
@@ -98,15 +99,21 @@ def hybrid_experiment(docs: DataFrame, queries: DataFrame, qrels: DataFrame, doc
     return Experiment(all_runs, table, per_query, [k], k, details)
 
 
+def _lambda_trees(train: DataFrame, cols: list[str], rounds: int, seed: int):
+    learn, watch, _ = ltr.group_split(train, "query_id", 0.8, seed + 1)
+    return fit_lambda_trees(learn, cols, evaluation=watch, rounds=rounds)
+
+
 def ltr_experiment(docs: DataFrame, queries: DataFrame, qrels: DataFrame, depth: int = 20, eval_split: float = 0.3,
                    seed: int = 42, methods=("linear", "pairwise"), metrics=("P@10", "nDCG@20"), gbt_iter: int = 200,
                    tokenizer=None) -> Experiment:
     """Learned re-ranking, judged on queries that no model has seen.
 
     BM25 candidates get features and labels; whole queries go to training or evaluation; imputer, scaler
-    and rankers ('linear', 'gbt', 'pairwise') learn from the balanced training candidates and order the
-    candidates of the evaluation queries.  The key column is ``method``; 'bm25' is the order before and
-    'hash' an order that knows nothing.  ``details`` has the split (query_id, split)."""
+    and rankers ('linear', 'gbt', 'pairwise', 'lambda') learn from the balanced training candidates and order the
+    candidates of the evaluation queries.  'pairwise' is the linear scorer of the preference pairs, 'lambda'
+    the trees boosted on nDCG@20, which stop by a fifth of the training queries.  The key column is
+    ``method``; 'bm25' is the order before and 'hash' an order that knows nothing.  ``details`` has the split (query_id, split)."""
     _checked(docs, queries, qrels)
     cands = bm25_candidates(docs, queries, depth, tokenizer)
     rows, names = ltr.add_ltr_features(cands, tokenizer=tokenizer)
@@ -120,12 +127,12 @@ def ltr_experiment(docs: DataFrame, queries: DataFrame, qrels: DataFrame, depth:
     _, (train, ready) = ltr.scale_features(train, kept, True, [ready])
     fit = {"linear": lambda: ltr.fit_linear_ranker(ltr.assemble(train, kept)),
            "gbt": lambda: ltr.fit_gbt_ranker(ltr.assemble(train, kept), max_iter=gbt_iter),
-           "pairwise": lambda: ltr.fit_pairwise_ranker(ltr.preference_pairs(train, kept), kept)}
+           "pairwise": lambda: fit_pairwise(train, kept), "lambda": lambda: _lambda_trees(train, kept, gbt_iter, seed)}
     runs = {"bm25": held.select("query_id", "doc_id", F.col("bm25_1").alias("score")),
             "hash": held.select("query_id", "doc_id", F.xxhash64("query_id", "doc_id").cast("double").alias("score"))}
     for name in methods:
         model = fit[name]()
-        scored = ltr.linear_scores(model, ready, kept) if name == "pairwise" else model.transform(ltr.assemble(ready, kept))
+        scored = model.scores(ready) if name in ("pairwise", "lambda") else model.transform(ltr.assemble(ready, kept))
         runs[name] = scored.select("query_id", "doc_id", F.col("prediction").alias("score"))
     all_runs = concat_splits(runs).withColumnRenamed("split", "method").checkpoint(eager=True)
     judged = _of(qrels, split.where("split = 'eval'"))

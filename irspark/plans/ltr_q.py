@@ -216,7 +216,7 @@ def q_reconstruct_bm25(spark, sf):
     idx = lx.build_index(docs)
     qt = lx.query_terms(qs)
     q = lx.bm25_query_side(idx, qt)
-    m = idx.postings.join(q, "term")
+    m = idx.matching(q)
     agg = m.groupBy("query_id", "doc_id").agg(F.sum(F.col("qtf") * F.col("tf")).alias("sum_tf"),
                                               F.sum(F.col("qtf") * F.col("idf")).alias("sum_idf"),
                                               F.sum(F.col("qtf") * F.col("tf") * F.col("idf")).alias("sum_tfidf"),

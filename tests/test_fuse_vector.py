@@ -75,6 +75,32 @@ def test_vector_topk_over_several_query_blocks_and_slices(spark, monkeypatch):
     assert sorted(map(tuple, V.vector_retrieve(qs, docs, 5).collect())) == whole and len(whole) == 23 * 5
 
 
+def test_vector_blocks_are_paired_by_spark_beyond_the_broadcast_bound(spark, monkeypatch):
+    from irspark.contracts import BROADCAST_MAX_BYTES_CONF
+
+    rng = np.random.default_rng(4)
+    D, Q = rng.normal(size=(150, 4)).round(1), rng.normal(size=(40, 4)).round(1)
+    D[3] = Q[5] = 0.0
+    docs = spark.createDataFrame([(f"{i:03d}", D[i].tolist()) for i in range(150)], "item_id string, embedding array<double>").repartition(3)
+    qs = spark.createDataFrame([(f"q{i}", Q[i].tolist()) for i in range(40)], "query_id string, embedding array<double>")
+    whole = sorted(map(tuple, V.vector_retrieve(qs, docs, 5).collect()))
+    frame = type(docs)
+    sent, collect = [], frame.collect
+    monkeypatch.setattr(V, "DOC_BLOCK", 16)
+    monkeypatch.setattr(frame, "collect", lambda self: sent.append(collect(self)) or sent[-1])
+    spark.conf.set(BROADCAST_MAX_BYTES_CONF, "700")
+    try:
+        run = V.vector_retrieve(qs, docs, 5, query_block=7)
+    finally:
+        spark.conf.unset(BROADCAST_MAX_BYTES_CONF)
+    monkeypatch.setattr(frame, "collect", collect)
+    assert sorted(map(tuple, run.collect())) == whole and len(whole) == 200
+    assert sum(map(len, sent)) < 10                                     # counts, never queries or documents
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch", None) != str(V.BATCH_BYTES)
+    with pytest.raises(Exception, match="components"):
+        V.vector_retrieve(qs, docs.unionByName(docs.limit(1).withColumn("embedding", F.expr("array(1.0D)"))), 5)
+
+
 def test_containment_pairs_equal_brute_force(spark):
     import random
 
