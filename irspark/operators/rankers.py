@@ -27,9 +27,9 @@ SAVE_EVERY = 10          # boosting rounds between two written states
 
 # ---------------------------------------------------------------------- rows by query
 
-def by_query(df: DataFrame, group: str = "query_id") -> DataFrame:
+def by_query(df: DataFrame, group: str = "query_id", *order: str) -> DataFrame:
     """The rows dealt by query, sorted and written once (reliable checkpoint)."""
-    return df.repartition(group).sortWithinPartitions(group).checkpoint(eager=True)
+    return df.repartition(group).sortWithinPartitions(group, *order).checkpoint(eager=True)
 
 
 def whole_groups(batches):
@@ -107,19 +107,30 @@ def preference_gradient(scores: np.ndarray, labels: np.ndarray) -> tuple[float,
     return float(loss), pairs, gradient
 
 
-def pair_gradients(df: DataFrame, score: str = "score", label: str = "relevance", group: str = "query_id",
-                   id_col: str = "doc_id") -> DataFrame:
-    """(query_id, doc_id, gradient): each document's gradient of its query's pairwise logistic loss.  Null
-    scores and labels count as 0."""
+def _by_document(df: DataFrame, gradient, score: str, label: str, group: str, id_col: str) -> DataFrame:
     def run(batches):
         for batch, starts in whole_groups(batches):
             s, y = batch.column(2).to_numpy(), batch.column(3).to_numpy()
-            out = np.concatenate([preference_gradient(s[a:b], y[a:b])[2] for a, b in zip(starts, [*starts[1:], len(s)]) if b > a])
+            out = np.concatenate([gradient(s[a:b], y[a:b]) for a, b in zip(starts, [*starts[1:], len(s)]) if b > a])
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out)], [group, id_col, "gradient"])
 
     value = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c)
-    rows = by_query(df.select(F.col(group).cast("string").alias(group), F.col(id_col).cast("string").alias(id_col), value(score), value(label)), group)
-    return rows.mapInArrow(run, f"`{group}` string, `{id_col}` string, gradient double")
+    rows = df.select(F.col(group).cast("string").alias(group), F.col(id_col).cast("string").alias(id_col), value(score), value(label))
+    return by_query(rows, group, id_col).mapInArrow(run, f"`{group}` string, `{id_col}` string, gradient double")
+
+
+def pair_gradients(df: DataFrame, score: str = "score", label: str = "relevance", group: str = "query_id",
+                   id_col: str = "doc_id") -> DataFrame:
+    """(query_id, doc_id, gradient): each document's gradient of its query's pairwise logistic loss.  Null
+    scores and labels count as 0."""
+    return _by_document(df, lambda s, y: preference_gradient(s, y)[2], score, label, group, id_col)
+
+
+def lambda_gradients(df: DataFrame, k: int = 20, score: str = "score", label: str = "relevance", group: str = "query_id",
+                     id_col: str = "doc_id") -> DataFrame:
+    """(query_id, doc_id, gradient): each document's gradient of nDCG@``k`` by swaps.  Equal scores rank by
+    id; null scores and labels count as 0."""
+    return _by_document(df, lambda s, y: lambda_gradient(s, y, k)[0], score, label, group, id_col)
 
 
 # ---------------------------------------------------------------------------- linear scorer

@@ -15,9 +15,11 @@ from .contracts import bounded_broadcast, id_str, measures_at, require_columns
 from .functions.text import tok_whitespace
 from .operators import fuse, ltr
 from .operators.evaluate import evaluate_run
-from .operators.lexical import bm25_candidates, bm25_retrieve, tfidf_retrieve
+from .operators.index import build_index
+from .operators.lexical import bm25_candidates, bm25_pair_features, bm25_retrieve, tfidf_retrieve
 from .operators.rankers import fit_lambda_trees, fit_pairwise
 from .operators.sets import concat_splits
+from .operators.sparse import combine_features
 from .operators.vector import vector_retrieve
 
 
@@ -110,9 +112,10 @@ def ltr_experiment(docs: DataFrame, queries: DataFrame, qrels: DataFrame, depth:
     """Learned re-ranking, judged on queries that no model has seen.
 
     BM25 candidates get features and labels; whole queries go to training or evaluation; imputer, scaler
-    and rankers ('linear', 'gbt', 'pairwise', 'lambda') learn from the balanced training candidates and order the
+    and rankers ('linear', 'gbt', 'pairwise', 'pairwise_sparse', 'lambda') learn from the balanced training candidates and order the
     candidates of the evaluation queries.  'pairwise' is the linear scorer of the preference pairs, 'lambda'
-    the trees boosted on nDCG@20, which stop by a fifth of the training queries.  The key column is
+    the trees boosted on nDCG@20, which learn from whole candidate lists and stop by a fifth of the training queries.  'pairwise_sparse' adds the BM25
+    weights of a pair's shared terms as sparse columns to the linear scorer.  The key column is
     ``method``; 'bm25' is the order before and 'hash' an order that knows nothing.  ``details`` has the split (query_id, split)."""
     _checked(docs, queries, qrels)
     cands = bm25_candidates(docs, queries, depth, tokenizer)
@@ -120,17 +123,24 @@ def ltr_experiment(docs: DataFrame, queries: DataFrame, qrels: DataFrame, depth:
     rows = ltr.add_relevance_labels(rows, qrels).drop("query_text", "doc_text").checkpoint(eager=True)
     cols = ltr.bm25_feature_columns(rows) + names
     train, held, split = ltr.group_split(rows, "query_id", 1.0 - eval_split, seed)
-    train, held = ltr.balanced_sample(train).checkpoint(eager=True), held.checkpoint(eager=True)
+    lists, held = train.checkpoint(eager=True), held.checkpoint(eager=True)
+    train = ltr.balanced_sample(lists).checkpoint(eager=True)
     if train.isEmpty():
         raise ValueError("no training query has a relevant candidate")
-    _, kept, (train, ready) = ltr.impute_mean(train, cols, [held])
-    _, (train, ready) = ltr.scale_features(train, kept, True, [ready])
+    _, kept, (train, ready, lists) = ltr.impute_mean(train, cols, [held, lists])
+    _, (train, ready, lists) = ltr.scale_features(train, kept, True, [ready, lists])
     fit = {"linear": lambda: ltr.fit_linear_ranker(ltr.assemble(train, kept)),
            "gbt": lambda: ltr.fit_gbt_ranker(ltr.assemble(train, kept), max_iter=gbt_iter),
-           "pairwise": lambda: fit_pairwise(train, kept), "lambda": lambda: _lambda_trees(train, kept, gbt_iter, seed)}
+           "pairwise": lambda: fit_pairwise(train, kept), "lambda": lambda: _lambda_trees(lists, kept, gbt_iter, seed)}
     runs = {"bm25": held.select("query_id", "doc_id", F.col("bm25_1").alias("score")),
             "hash": held.select("query_id", "doc_id", F.xxhash64("query_id", "doc_id").cast("double").alias("score"))}
     for name in methods:
+        if name == "pairwise_sparse":
+            terms = bm25_pair_features(cands, build_index(docs, tokenizer), tokenizer)
+            both = combine_features(train, kept, terms, [ready])
+            model = fit_pairwise(both.frames[0], kept, sparse=("idx", "val"), n_columns=both.n_columns, l2=1e-2)
+            runs[name] = model.scores(both.frames[1], ("idx", "val")).select("query_id", "doc_id", F.col("prediction").alias("score"))
+            continue
         model = fit[name]()
         scored = model.scores(ready) if name in ("pairwise", "lambda") else model.transform(ltr.assemble(ready, kept))
         runs[name] = scored.select("query_id", "doc_id", F.col("prediction").alias("score"))

@@ -10,11 +10,14 @@ from ..functions import text as T
 from ..operators import corpus as C
 from ..operators import lexical as lx
 from ..operators import ltr as L
+from ..operators import rankers as RK
+from ..operators import sparse as SP
 from ..pipelines import ltr_experiment
 from ..sources import fixtures as fx
 from . import sql as S
 from .fusion_q import BM25_ALL
 from .registry import register
+from .retrieval_q import LUCENE_WEIGHTS
 
 FEATS = [f"f{i}" for i in range(1, 12)]
 
@@ -162,17 +165,63 @@ def _judged_features(spark, sf):
     return lab, L.bm25_feature_columns(lab) + names
 
 
-@register("combine_dense_sparse")
-def q_combine_dense_sparse(spark, sf):
-    """Dense f-columns + a sparse vector of the matched query terms (CountVectorizer)."""
-    from pyspark.ml.feature import CountVectorizer
+_DENSE = ["bm25_1", "f2", "f6"]
 
-    lab, cols = _judged_features(spark, sf)
-    x = lab.withColumn("_m", F.array_intersect(T.tok_alnum(F.col("query_text")), T.tok_alnum(F.col("doc_text"))))
-    cv = CountVectorizer(inputCol="_m", outputCol="sparse_terms", minDF=1.0).fit(x)
-    v = L.assemble(cv.transform(x), cols, "features", "sparse_terms")
-    from pyspark.ml.functions import vector_to_array
-    return v.select("query_id", "doc_id", F.size(vector_to_array("features")).alias("dim"))
+
+@register("combine_dense_sparse", f"""WITH {_PAIRS}, {LUCENE_WEIGHTS},
+long AS (SELECT feat.query_id, feat.doc_id, q.term, w.weight * q.qtf v FROM feat JOIN q USING (query_id) JOIN w ON w.doc_id = feat.doc_id AND w.term = q.term),
+m AS (SELECT count(*)::DOUBLE n, """ + ", ".join(f"stddev_pop({c}) s_{c}" for c in _DENSE) + f""" FROM feat),
+tv AS (SELECT term, sum(v * v) / n s2, sum(v * v) / n - (sum(v) / n) * (sum(v) / n) var FROM long, m GROUP BY term, n),
+tc AS (SELECT term, CASE WHEN var > 1e-12 * s2 THEN sqrt(var) ELSE 1 END s, {len(_DENSE)} - 1 + row_number() OVER (ORDER BY term) c FROM tv)
+SELECT query_id, doc_id, CAST(c AS INTEGER) "column", term AS name, round(v / s, 6) AS value FROM long JOIN tc USING (term)
+""" + "".join(f"UNION ALL SELECT query_id, doc_id, {i}, '{c}', round({c} / CASE WHEN s_{c} > 0 THEN s_{c} ELSE 1 END, 6) FROM feat, m\n"
+              for i, c in enumerate(_DENSE)))
+def q_combine_dense_sparse(spark, sf):
+    """Every entry of the combined, scaled features of the BM25 candidates: dense columns first, then the
+    BM25 weights of the shared terms as sparse columns."""
+    cands = candidates(spark, sf)
+    dense, _ = L.add_ltr_features(cands)
+    both = SP.combine_features(dense, _DENSE, lx.bm25_pair_features(cands, lx.build_index(fx.docs(spark, sf))))
+    entry = lambda i, v: F.struct(F.lit(i).alias("column"), F.col(v).alias("value"))
+    entries = F.concat(F.array(*[entry(i, c) for i, c in enumerate(_DENSE)]),
+                       F.zip_with("idx", "val", lambda i, v: F.struct(i.alias("column"), v.alias("value"))))
+    rows = both.frames[0].select("query_id", "doc_id", F.inline(entries))
+    return rows.join(both.columns.select("column", "name"), "column").select("query_id", "doc_id", "column", "name", round6("value").alias("value"))
+
+
+_RANKED = f"""{_LABELLED}, r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) rk FROM lab)"""
+
+
+@register("pairwise_gradient", f"""WITH {_LABELLED}
+SELECT a.query_id, a.doc_id, 0.0 + round(sum(CASE WHEN a.relevance > b.relevance THEN -1 / (1 + exp(least(a.score - b.score, 700)))
+  WHEN a.relevance < b.relevance THEN 1 / (1 + exp(least(b.score - a.score, 700))) ELSE 0 END), 6) AS gradient
+FROM lab a JOIN lab b USING (query_id) GROUP BY a.query_id, a.doc_id""")
+def q_pairwise_gradient(spark, sf):
+    """Gradient by score of the pairwise logistic loss at the BM25 scores of the labelled candidates."""
+    g = RK.pair_gradients(labelled(spark, sf))
+    return g.select("query_id", "doc_id", (round6("gradient") + F.lit(0.0)).alias("gradient"))
+
+
+@register("lambda_gradient", f"""WITH {_RANKED},
+gd AS (SELECT *, CASE WHEN rk <= 10 THEN 1 / log2(rk + 1) ELSE 0 END disc FROM r),
+i AS (SELECT query_id, sum(relevance / log2(ik + 1)) ideal FROM (SELECT query_id, relevance, row_number() OVER (PARTITION BY query_id ORDER BY relevance DESC) ik FROM lab)
+      WHERE ik <= 10 GROUP BY query_id)
+SELECT a.query_id, a.doc_id, 0.0 + round(sum(CASE WHEN ideal = 0 OR a.relevance = b.relevance THEN 0 ELSE
+  (CASE WHEN a.relevance > b.relevance THEN -1 / (1 + exp(least(a.score - b.score, 700))) ELSE 1 / (1 + exp(least(b.score - a.score, 700))) END)
+  * abs((a.relevance - b.relevance) * (a.disc - b.disc)) / ideal END), 6) AS gradient
+FROM gd a JOIN gd b USING (query_id) JOIN i USING (query_id) GROUP BY a.query_id, a.doc_id""")
+def q_lambda_gradient(spark, sf):
+    """Gradient of nDCG@10 by swaps at the BM25 scores of the labelled candidates."""
+    g = RK.lambda_gradients(labelled(spark, sf), 10)
+    return g.select("query_id", "doc_id", (round6("gradient") + F.lit(0.0)).alias("gradient"))
+
+
+@register("ltr_listwise_eval")
+def q_ltr_listwise_eval(spark, sf):
+    """Held-out quality of the preference rankers beside the linear one, the BM25 order and a hash order."""
+    done = ltr_experiment(fx.docs(spark, sf), fx.queries(spark, sf), fx.qrels(spark, sf), gbt_iter=30,
+                          methods=("linear", "gbt", "pairwise", "pairwise_sparse", "lambda"))
+    return done.metrics.select("method", *[round6(F.col(f"`{c}`")).alias(c) for c in ("P@10", "nDCG@20")])
 
 
 @register("linear_ranker")

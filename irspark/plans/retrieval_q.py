@@ -147,11 +147,11 @@ def q_tfidf_topk(spark, sf):
     return lx.tfidf_retrieve(fx.docs(spark, sf), fx.queries(spark, sf), 20, tokenizer=T.tok_whitespace)
 
 
-_LUCENE = f"""{S.docs_tokens()}, {S.INDEX.strip()},
-li AS (SELECT term, ln(1 + (st.n - df + 0.5) / (df + 0.5)) idf FROM df, st),
+LUCENE_WEIGHTS = """li AS (SELECT term, ln(1 + (st.n - df + 0.5) / (df + 0.5)) idf FROM df, st),
 av AS (SELECT CASE WHEN avgdl > 0 THEN avgdl ELSE 1.0 END a FROM st),
 w AS (SELECT p.doc_id, p.term, p.tf * 2.2 / (p.tf + 1.2 * (0.25 + 0.75 * dl.dl / av.a)) * li.idf weight
       FROM p JOIN li USING (term) JOIN dl USING (doc_id), av)"""
+_LUCENE = f"{S.docs_tokens()}, {S.INDEX.strip()}, {LUCENE_WEIGHTS}"
 
 
 @register("bm25_sparse_weights", f"WITH {_LUCENE} SELECT doc_id, term, round(weight, 6) weight FROM w")
