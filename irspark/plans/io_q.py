@@ -11,7 +11,7 @@ from ..contracts import round6
 from ..operators import lexical as lx
 from ..operators import sets as ST
 from ..operators.evaluate import evaluate_run
-from ..operators.vector import upsert_vectors
+from ..operators.vector_table import VectorTable
 from ..sources import fixtures as fx
 from ..sources import io as IO
 from ..sources import letor as LT
@@ -132,18 +132,24 @@ def q_split_paragraphs(spark, sf):
     return s.select("doc_id", F.col("para_no").cast("int").alias("para_no"), "para_id", F.md5("text").alias("text_md5"))
 
 
-@register("vector_upsert", """SELECT CAST(vec_id AS VARCHAR) point_id, CAST(vec_id AS VARCHAR) item_id, label + 100 label FROM embeddings WHERE vec_id >= 200
-UNION ALL SELECT CAST(vec_id AS VARCHAR), CAST(vec_id AS VARCHAR), label FROM embeddings WHERE vec_id < 200""")
+_UPSERTED = """SELECT CAST(vec_id AS VARCHAR) point_id, CAST(vec_id AS VARCHAR) item_id, {label} label, '{mark}' || vec_id AS text,
+  round({sign} * list_sum(list_transform(range(1, len(embedding) + 1), lambda i: i * CAST(embedding[i] AS DOUBLE))), 5) AS checksum FROM embeddings WHERE vec_id {where}"""
+
+
+@register("vector_upsert", _UPSERTED.format(label="label + 100", mark="w", sign=-1, where=">= 200") + "\nUNION ALL "
+          + _UPSERTED.format(label="label", mark="v", sign=1, where="< 200"))
 def q_vector_upsert(spark, sf):
-    """Existing points = vectors with id < 300, new batch = ids >= 200 with a changed payload:
-    the new batch replaces the overlapping ids."""
+    """A named table of the vectors with id < 300, then a batch of ids >= 200 with changed text, payload
+    and vector: the batch replaces the ids it shares.  ``checksum`` weighs components by their place."""
     v = fx.table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("item_id"),
                                                   F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("text"),
-                                                  "embedding", "label")
-    existing = v.filter(F.col("item_id").cast("int") < 300)
-    new = v.filter(F.col("item_id").cast("int") >= 200).withColumn("label", F.col("label") + 100)
-    out = upsert_vectors(existing, new)
-    return out.select("point_id", "item_id", "label")
+                                                  F.col("embedding").cast("array<double>").alias("embedding"), "label")
+    n = F.col("item_id").cast("int")
+    changed = v.filter(n >= 200).select("item_id", F.regexp_replace("text", "^v", "w").alias("text"),
+                                        F.transform("embedding", lambda x: -x).alias("embedding"), (F.col("label") + 100).alias("label"))
+    table = VectorTable(spark, f"upsert-{uuid.uuid4().hex}", buckets=16).upsert(v.filter(n < 300)).upsert(changed)
+    weighed = F.aggregate(F.transform("embedding", lambda x, i: (i + 1) * x), F.lit(0.0), lambda a, x: a + x)
+    return table.read().select("point_id", "item_id", "label", "text", F.round(weighed, 5).alias("checksum"))
 
 
 @register("concat_splits", f"WITH {S.QUERIES_FIX} SELECT query_id, split FROM qs")
