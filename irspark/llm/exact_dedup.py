@@ -32,6 +32,15 @@ def _normalise(with_text: bool):
     return run
 
 
+def _read_back(keyed: DataFrame, classes: DataFrame, hot: DataFrame) -> DataFrame:
+    """Rows with the class of their digest; those of the hot digests, a bounded list, meet it by broadcast, so
+    that no task gathers their rows."""
+    hot = F.broadcast(hot.select("digest"))
+    few = classes.join(hot, "digest", "left_semi")
+    rest = keyed.join(hot, "digest", "left_anti").join(classes.join(hot, "digest", "left_anti"), "digest")
+    return keyed.join(F.broadcast(few), "digest").unionByName(rest)
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", salts: int = 16,
                 max_hot: int = 4096, digest_bytes: int = 32) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256.
@@ -66,9 +75,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                .select("digest", "keep_id", "group_size"))
     classes = cut(classes)
     clashes = cut(classes.groupBy("digest").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("digest"))
-    out = keyed.join(classes, "digest").select("id", "sha", "keep_id", "group_size")
+    out = _read_back(keyed, classes, hot).select("id", "sha", "keep_id", "group_size")
     if not clashes.isEmpty():
-        plain = keyed.join(clashes, "digest", "left_anti").join(classes, "digest")
+        plain = _read_back(keyed.join(clashes, "digest", "left_anti"), classes, hot)
         there = full.join(clashes, "digest", "left_semi")
         sizes = there.groupBy("digest", "norm").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
         mixed = there.join(sizes, ["digest", "norm"])

@@ -22,6 +22,9 @@ from .graph import connected_components
 from .text import as_bytes, blocks, slices
 
 
+MAX_HOT = 4096                       # fingerprints with over 1/MAX_HOT of all rows are hot
+
+
 def _shingles(text: bytes, k: int):
     """Blocks of shingle byte strings of the whole text, repeats included, in order."""
     rest: list[bytes] = []
@@ -127,10 +130,13 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     marked = cut(map_batches(rows, _fingerprints(shingle, seed), "doc_id bigint, fp bigint"))
-    least = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first")))
+    least = cut(marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n")))
     roots = cut(near_fingerprints(least, bits).join(least, F.col("node") == F.col("fp"))
                 .select("fp", "root", "first"))
     named = roots.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = roots.join(named, "root").select("fp", "component_id")
-    return (marked.join(of, "fp")
+    of = cut(roots.join(named, "root").select("fp", "component_id"))
+    # fingerprints of many rows, fewer than MAX_HOT, meet their component by broadcast, all others by shuffle
+    hot = F.broadcast(least.where(F.col("n") * MAX_HOT > marked.count()).select("fp"))
+    rest = marked.join(hot, "fp", "left_anti").join(of.join(hot, "fp", "left_anti"), "fp")
+    return (marked.join(F.broadcast(of.join(hot, "fp", "left_semi")), "fp").unionByName(rest)
             .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"))
