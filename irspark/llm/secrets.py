@@ -9,7 +9,7 @@ window cell with an interval condition; it is a semi-join, so no pair is ever pu
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .frames import cut
@@ -28,34 +28,18 @@ WEAK_KINDS = ("weak_secret", "weak_access", "endpoint")
 KINDS = BASE_KINDS + WEAK_KINDS
 
 SPAN = "array<struct<start:int,rank:int,end:int,kind:string>>"
+TURN = "array<struct<gap:int,n:int,v:int>>"
 
 
-def _spans(text: Column, pattern: str, kind: str) -> Column:
-    """All leftmost non-overlapping matches of a pattern with their places in code points.
-
-    The text between matches and the matches themselves take turns, so their lengths add up to the
-    places.  Texts without a match skip both passes."""
+def _turns(text: Column, pattern: str, group: int = 0) -> Column:
+    """For each leftmost non-overlapping match of a pattern, in order, the code points between it and the
+    match before (``gap``), of the match (``n``) and of a group of it (``v``).  Texts without a match skip the passes."""
     rest, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    turns = F.zip_with(F.slice(rest, 1, F.size(hits)), hits,
-                       lambda gap, hit: F.struct(F.char_length(gap).alias("gap"), F.char_length(hit).alias("n")))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
-    rank = KINDS.index(kind)
-    found = F.aggregate(
-        turns, zero,
-        lambda acc, x: F.struct(
-            (acc["at"] + x["gap"] + x["n"]).alias("at"),
-            F.concat(acc["out"], F.array(F.struct(
-                (acc["at"] + x["gap"]).alias("start"), F.lit(rank).alias("rank"),
-                (acc["at"] + x["gap"] + x["n"]).alias("end"), F.lit(kind).alias("kind")))).alias("out")),
-        lambda acc: acc["out"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(SPAN))
-
-
-def _long_enough(text: Column, spans: Column, pattern: str, group: int, least: int) -> Column:
-    """The spans whose match has at least ``least`` characters in a group."""
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    both = F.zip_with(spans, values, lambda s, v: F.struct(s.alias("s"), F.char_length(v).alias("n")))
-    return F.when(F.size(spans) > 0, F.transform(F.filter(both, lambda x: x["n"] >= least), lambda x: x["s"])).otherwise(spans)
+    size = F.char_length
+    turns = F.zip_with(F.slice(rest, 1, F.size(hits)), hits, lambda gap, hit: F.struct(size(gap).alias("gap"), size(hit).alias("n")))
+    values = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else hits, size)
+    both = F.zip_with(turns, values, lambda t, v: F.struct(t["gap"].alias("gap"), t["n"].alias("n"), v.alias("v")))
+    return F.when(text.rlike(pattern), both).otherwise(F.array().cast(TURN))
 
 
 def _listed(spans: Column) -> Column:
@@ -63,20 +47,35 @@ def _listed(spans: Column) -> Column:
         ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find_parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """row, doc_id, base and weak spans of every document.  ``row`` names a row of this frame only."""
+def find_matches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """row, doc_id and the turns of each kind for every document.  ``row`` names a row of this frame only."""
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    text = F.col("text")
-    rows = rows.select("doc_id", "text", _spans(text, ASSIGN, "assign").alias("assign"),
-                       _spans(text, ACCESS, "access").alias("access"), _spans(text, HEX, "hex").alias("hex"),
-                       *[_spans(text, p, k).alias(k) for p, k in zip((WEAK_SECRET, WEAK_ACCESS, ENDPOINT), WEAK_KINDS)])
-    rows = rows.select("doc_id", F.concat(_long_enough(text, F.col("assign"), ASSIGN, 1, 8),
-                                          F.filter("access", lambda s: s["end"] - s["start"] >= 16), "hex").alias("base"),
-                       F.concat(F.filter("weak_secret", lambda s: s["end"] - s["start"] == 40),
-                                F.filter("weak_access", lambda s: (s["end"] - s["start"]).between(8, 40)),
-                                "endpoint").alias("weak"))
-    return rows.withColumn("row", F.monotonically_increasing_id())
+    patterns = (ASSIGN, ACCESS, HEX, WEAK_SECRET, WEAK_ACCESS, ENDPOINT)
+    return rows.select(F.monotonically_increasing_id().alias("row"), "doc_id",
+                       *[_turns(F.col("text"), p, 1 if k == "assign" else 0).alias(k) for p, k in zip(patterns, KINDS)])
+
+
+def place_matches(matches: DataFrame) -> DataFrame:
+    """(row, rank, kind, base, start, end) of the matches that count: each kind's lengths add up to places, one
+    running sum a document and kind.  Weak matches that lie inside a base one are left out, as are base
+    parts of documents without weak ones when it comes to linking (``alone``)."""
+    def ranked(r: int):
+        return lambda t, i: F.struct(F.lit(r).alias("rank"), i.alias("pos"), t["gap"].alias("gap"), t["n"].alias("n"), t["v"].alias("v"))
+
+    each = F.concat(*[F.transform(k, ranked(r)) for r, k in enumerate(KINDS)])
+    line = Window.partitionBy("row", "rank").orderBy("pos")
+    spans = matches.select("row", F.inline(each)).withColumn("end", F.sum(F.col("gap") + F.col("n")).over(line).cast("int"))
+    n, rank = F.col("n"), F.col("rank")
+    counts = (F.when(rank == KINDS.index("assign"), F.col("v") >= 8).when(rank == KINDS.index("access"), n >= 16)
+              .when(rank == KINDS.index("weak_secret"), n == 40).when(rank == KINDS.index("weak_access"), n.between(8, 40)).otherwise(True))
+    base = rank < len(BASE_KINDS)
+    spans = spans.where(counts).select("row", "rank", F.get(F.array(*[F.lit(k) for k in KINDS]), rank).alias("kind"),
+                                       base.alias("base"), (F.col("end") - n).alias("start"), "end")
+    before = Window.partitionBy("row").orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    reach = F.max(F.when(F.col("base"), F.col("end"))).over(before)
+    spans = spans.withColumn("inside", ~F.col("base") & F.coalesce(reach >= F.col("end"), F.lit(False))).where("NOT inside").drop("inside")
+    return spans.withColumn("alone", F.min("base").over(Window.partitionBy("row")))
 
 
 def link_parts(parts: DataFrame, scope: int) -> DataFrame:
@@ -105,9 +104,9 @@ def link_parts(parts: DataFrame, scope: int) -> DataFrame:
 
 
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = 200) -> DataFrame:
-    """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, linked.
+    """One row per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_linked.
 
-    Base spans are found wherever they stand; ``linked`` lists the weak parts that complementary
+    Base spans are found wherever they stand; ``n_linked`` counts the weak parts that complementary
     parts support within ``scope`` characters, and ``spans`` lists both.  Places are in code points,
     the end exclusive, ordered by start, then by kind as listed, then by end.  A hex string or the
     value of an assignment counts as a secret; a weak part that lies inside a base span is that
@@ -116,20 +115,18 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Null text counts as empty and has no spans (the empty text's SHA-256).  Every row is scanned whole
     and on its own, with null or repeated ids too.  Other columns are ignored.
     """
-    found = cut(find_parts(docs, id_col, text_col))
-    spans = found.where(F.size("weak") > 0).select("row", "base", F.explode(F.concat("base", "weak")).alias("s"))
-    inside = F.exists("base", lambda b: (b["start"] <= F.col("start")) & (F.col("end") <= b["end"]))
+    found = cut(find_matches(docs, id_col, text_col))
+    spans = cut(place_matches(found))
     role = (F.when(F.col("kind").isin("access", "weak_access"), "id").when(F.col("kind") == "endpoint", "endpoint")
             .otherwise("secret"))
-    is_base = F.col("kind").isin(*BASE_KINDS)
-    parts = (spans.select("row", "base", "s.start", "s.rank", "s.end", "s.kind").where(is_base | ~inside)
-             .select("row", role.alias("role"), is_base.alias("base"), "start", "rank", "end", "kind"))
-    # all parts of one document only, bounded by its text
-    linked = (link_parts(cut(parts), scope).groupBy("row")
-              .agg(F.collect_list(F.struct("start", "rank", "end", "kind")).alias("more"))
-              .withColumnRenamed("row", "row2"))
-    whole = found.join(linked, F.col("row") == F.col("row2"), "left").select(
-        "doc_id", "base", F.coalesce(F.col("more").cast(SPAN), F.array().cast(SPAN)).alias("more"))
+    parts = spans.where("NOT alone").select("row", role.alias("role"), "base", "start", "rank", "end", "kind")
+    span = F.struct("start", "rank", "end", "kind")
+    # all spans of one document only, bounded by its text
+    listed = (spans.where("base").select("row", span.alias("s")).unionByName(link_parts(cut(parts), scope).select("row", span.alias("s")))
+              .groupBy("row").agg(F.collect_list("s").alias("spans")).withColumnRenamed("row", "row2"))
+    whole = found.select("row", "doc_id").join(listed, F.col("row") == F.col("row2"), "left").select(
+        "doc_id", F.coalesce(F.col("spans").cast(SPAN), F.array().cast(SPAN)).alias("spans"))
+    whole = whole.select("doc_id", "spans", F.filter("spans", lambda s: s["rank"] < len(BASE_KINDS)).alias("base"))
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint").alias(f"n_{k}")
     return whole.select("doc_id", *[count(k) for k in BASE_KINDS], F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
-                        _listed(F.concat("base", "more")).alias("spans"), F.size("more").cast("bigint").alias("n_linked"))
+                        _listed(F.col("spans")).alias("spans"), (F.size("spans") - F.size("base")).cast("bigint").alias("n_linked"))

@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -57,3 +58,21 @@ def test_very_long_text(spark, n):
     text = ("lorem ipsum " * 20_000 + f"token = abcdefgh1 {KEY} ") * n
     row = secret_scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
     assert row["spans"] == brute(text)[1] and row["n_assign"] == n
+
+
+def test_many_matches_in_one_text(spark):
+    def seconds(n):
+        text = " ".join(f"https://h{i}.example/x" for i in range(n)) + f" AKIA2345 {SECRET40} " + f"token={'q' * 9} " * (n // 100)
+        docs = spark.createDataFrame([(1, text), (2, "x")], "doc_id long, text string").repartition(2)
+        began = time.time()
+        row = secret_scan(docs).where("doc_id = 1").first()
+        took = time.time() - began
+        spans = row["spans"].split(",")
+        at = text.index("AKIA2345")
+        assert f"weak_access:{at}:{at + 8}" in spans and row["n_assign"] == n // 100
+        assert row["n_linked"] == 2 + sum(m.end() >= at + 9 - 200 for m in re.finditer(ENDPOINT, text[:at]))
+        return took
+
+    seconds(200)
+    few, many = seconds(10_000), seconds(60_000)
+    assert many < 3 * few + 12                                       # six times the matches; a square would be 36 times
