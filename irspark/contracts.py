@@ -64,6 +64,14 @@ def row_bytes(df: DataFrame) -> Column:
     return total
 
 
+def fits_broadcast(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether rows and bytes of ``df`` are within the broadcast bounds; reads at most ``max_rows + 1`` rows."""
+    bound = broadcast_max_rows(df) if max_rows is None else max_rows
+    most = int(df.sparkSession.conf.get(BROADCAST_MAX_BYTES_CONF, None) or DEFAULT_BROADCAST_MAX_BYTES)
+    seen = df.select(row_bytes(df).alias("b")).limit(bound + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum("b"), F.lit(0))).first()
+    return seen[0] <= bound and seen[1] <= most
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int | None = None, checkpoint: bool = False) -> DataFrame:
     """Broadcast ``df`` only when it is proven small; otherwise leave the join to a shuffle.
 
@@ -71,12 +79,9 @@ def bounded_broadcast(df: DataFrame, max_rows: int | None = None, checkpoint: bo
     ``max_rows + 1``.  With ``checkpoint`` the side is first written to the checkpoint folder
     (reliable checkpoint), so the check and every later use read it instead of recomputing it.
     """
-    bound = broadcast_max_rows(df) if max_rows is None else max_rows
-    most = int(df.sparkSession.conf.get(BROADCAST_MAX_BYTES_CONF, None) or DEFAULT_BROADCAST_MAX_BYTES)
     if checkpoint:
         df = df.checkpoint(eager=True)
-    seen = df.select(row_bytes(df).alias("b")).limit(bound + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum("b"), F.lit(0))).first()
-    return F.broadcast(df) if seen[0] <= bound and seen[1] <= most else df
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -47,11 +47,38 @@ def _word_array(words: Iterable[str]) -> Column:
     return F.array(*[F.lit(w) for w in words]) if words else F.array().cast("array<string>")
 
 
-def remove_stopwords(tokens, words: Iterable[str]) -> Column:
-    """Drop tokens equal (case-sensitive) to a stop word.  ``words`` is a small driver list;
-    for large word tables use :func:`irspark.operators.corpus.anti_join_terms`."""
-    arr = _word_array(words)
-    return F.filter(_col(tokens), lambda x: ~F.array_contains(arr, x))
+def remove_stopwords(tokens, words: Iterable[str] | Column) -> Column:
+    """Drop tokens equal (case-sensitive) to a stop word.  ``words`` is a small driver list, or a column
+    with the row's own list (null: none); for a table of words see ``remove_stopword_table``."""
+    arr = F.coalesce(words, F.array().cast("array<string>")) if isinstance(words, Column) else _word_array(words)
+    return F.filter(_col(tokens), lambda x: ~F.coalesce(F.array_contains(arr, x), F.lit(False)))
+
+
+INLINE_WORDS = 1024          # stop words of a language that each row carries along; more are looked up
+
+
+def remove_stopword_table(df, words, tokens_col: str = "tokens", id_col: str = "doc_id", word_col: str = "word",
+                          lang_col: str | None = None):
+    """``df`` without the tokens that a table of stop words holds, in order; with ``lang_col`` (a column of
+    both) each row loses the words of its own language only.
+
+    Lists of up to INLINE_WORDS words a language travel with the rows.  Of larger tables a row needs only
+    the words that it has: its distinct tokens are looked up, and the tokens are filtered by what was
+    found.  Null words, and rows or words of a null language, match nothing.  ``id_col`` names a row and must be distinct.
+    """
+    from ..contracts import bounded_broadcast, fits_broadcast
+
+    keys = [lang_col] if lang_col else []
+    words = words.select(*keys, F.col(word_col).alias("_w")).where(F.col("_w").isNotNull()).distinct()
+    sizes = words.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    if fits_broadcast(sizes) and (sizes.agg(F.max("n")).first()[0] or 0) <= INLINE_WORDS:
+        lists = words.groupBy(*keys).agg(F.collect_set("_w").alias("_s"))
+        found = df.join(F.broadcast(lists), keys, "left") if keys else df.crossJoin(F.broadcast(lists))
+    else:
+        seen = df.select(id_col, *keys, F.explode(F.array_distinct(tokens_col)).alias("_w"))
+        mine = seen.join(bounded_broadcast(words), [*keys, "_w"], "left_semi").groupBy(id_col).agg(F.collect_set("_w").alias("_s"))
+        found = df.join(mine, id_col, "left")
+    return found.withColumn(tokens_col, remove_stopwords(tokens_col, F.col("_s"))).select(*df.columns)
 
 
 def tok_chain(*, punct: bool = True, stopwords: Iterable[str] | None = None,
@@ -148,21 +175,57 @@ TOKENIZERS: dict[str, Tokenizer] = {"whitespace": tok_whitespace, "alnum": tok_a
 
 def normalize_terms(tokens_df, mapping, id_col: str = "doc_id", tokens_col: str = "tokens",
                     term_col: str = "term", mapped_col: str = "mapped"):
-    """Replace every token by its mapped form (stem / lemma table); unknown tokens stay.
+    """Replace every token by its mapped form (stem / lemma table), in order; unknown tokens stay.
 
-    A vocabulary job instead of a per-word library call: tokens are exploded with their
-    position, joined to the mapping table (broadcast when proven small, else shuffled), and
-    re-assembled per document in position order.
+    A mapping within the broadcast bounds goes to every Python worker, where the distinct tokens of a batch
+    are mapped once; no row is moved.  A larger one is joined with the distinct tokens of each row.  Null tokens arrays
+    become empty; of a term's several forms the smallest counts.  Where the order of tokens does not matter,
+    ``Index.mapped`` maps the vocabulary of an index instead.
     """
-    from ..contracts import bounded_broadcast
-
-    m = mapping.select(F.col(term_col).alias("_t"), F.col(mapped_col).alias("_m"))
-    e = tokens_df.select(id_col, F.posexplode(tokens_col).alias("_pos", "_t"))
-    j = e.join(bounded_broadcast(m), "_t", "left").withColumn("_v", F.coalesce("_m", "_t"))
-    back = j.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("_pos", "_v"))).alias("_l"))
-    out = tokens_df.drop(tokens_col).join(back, id_col, "left")
-    return out.withColumn(tokens_col, F.coalesce(F.transform("_l", lambda x: x["_v"]),
-                                                 F.array().cast("array<string>"))).drop("_l")
+    from ..contracts import fits_broadcast
+
+    m = (mapping.select(F.col(term_col).cast("string").alias("_t"), F.col(mapped_col).cast("string").alias("_m"))
+         .where("_t IS NOT NULL AND _m IS NOT NULL").groupBy("_t").agg(F.min("_m").alias("_m")).checkpoint(eager=True))
+    if fits_broadcast(m):
+        shared = tokens_df.sparkSession.sparkContext.broadcast({r["_t"]: r["_m"] for r in m.collect()})   # of that bound
+        tokens = F.coalesce(F.col(tokens_col), F.array().cast("array<string>"))
+        return tokens_df.withColumn(tokens_col, _mapped_tokens(shared)(tokens))
+    seen = tokens_df.select(id_col, F.explode(F.array_distinct(tokens_col)).alias("_t")).join(m, "_t")
+    mine = seen.groupBy(id_col).agg(F.sort_array(F.collect_list(F.struct("_t", "_m"))).alias("_l"))
+    out = tokens_df.join(mine, id_col, "left")
+    return out.withColumn(tokens_col, _mapped_by_row()(
+        F.coalesce(F.col(tokens_col), F.array().cast("array<string>")), F.col("_l._t"), F.col("_l._m"))).select(*tokens_df.columns)
+
+
+def _mapped_tokens(shared):
+    @F.arrow_udf("array<string>")
+    def run(tokens):
+        import pyarrow as pa
+
+        words = tokens.flatten().dictionary_encode()
+        forms = pa.array([shared.value.get(w, w) for w in words.dictionary.to_pylist()], pa.string())
+        return pa.ListArray.from_arrays(_offsets(tokens), forms.take(words.indices))
+    return run
+
+
+def _mapped_by_row():
+    @F.arrow_udf("array<string>")
+    def run(tokens, terms, forms):
+        import pyarrow as pa
+
+        out = []
+        for row, t, f in zip(tokens.to_pylist(), terms.to_pylist(), forms.to_pylist()):
+            known = dict(zip(t or [], f or []))
+            out.append([known.get(w, w) for w in row])
+        return pa.array(out, pa.list_(pa.string()))
+    return run
+
+
+def _offsets(lists):
+    """Offsets of a list array from 0, as its flattened values have them."""
+    import pyarrow.compute as pc
+
+    return pc.subtract(lists.offsets, lists.offsets[0])
 
 
 def resolve_tokenizer(tokenizer) -> Tokenizer:

@@ -21,7 +21,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..contracts import id_str, require_columns, text_or_empty
+from ..contracts import fits_broadcast, id_str, require_columns, text_or_empty
 from ..functions.text import resolve_tokenizer, run_ends, run_lengths
 
 
@@ -29,6 +29,7 @@ BUCKET_BYTES = 256 << 20   # input bytes per bucket of the forward index
 CHUNK_POSTINGS = 4 << 20   # postings per file of the copy clustered by term
 ROW_GROUP_BYTES = 8 << 20  # and bytes of its row groups, whose statistics say which terms they hold
 MAX_LOOKUP_TERMS = 1 << 16  # terms of a query batch that the driver looks up in the file bounds
+HOT_TERMS = 1024           # a term with more than one in so many postings is joined by broadcast
 MAX_INTERVALS = 64         # term intervals of one pushed filter
 
 # Which copy of the postings a query batch reads: 'documents' (the forward index), 'terms' (the copy
@@ -75,6 +76,33 @@ class Index:
             return spark.read.parquet(target)
 
 
+    def with_terms(self, table: DataFrame, postings: DataFrame | None = None) -> DataFrame:
+        """Postings (or other rows with a ``term``) joined with a table of the vocabulary on ``term``.
+
+        A table within the broadcast bounds is broadcast.  Beyond them the terms that hold more than one in
+        HOT_TERMS of all postings, fewer than HOT_TERMS terms, are joined by broadcast and all others by
+        shuffle, so that no partition gathers the postings of a frequent term."""
+        rows = self.postings if postings is None else postings
+        if fits_broadcast(table):
+            return rows.join(F.broadcast(table), "term")
+        hot = (self.term_df.crossJoin(F.broadcast(self.stats.select("n_postings")))
+               .where(F.col("df") * HOT_TERMS > F.col("n_postings")).select("term").checkpoint(eager=True))
+        hot = F.broadcast(hot)
+        few = table.join(hot, "term", "left_semi").checkpoint(eager=True)
+        return (rows.join(F.broadcast(few), "term")
+                .unionByName(rows.join(hot, "term", "left_anti").join(table.join(hot, "term", "left_anti").hint("shuffle_merge"), "term")))
+
+    def mapped(self, mapping: DataFrame, term_col: str = "term", mapped_col: str = "mapped") -> "Index":
+        """The index of the same documents with every term replaced by its mapped form (stem, lemma); terms
+        without one stay.  Each distinct term is mapped once, and postings that become equal are added up; no
+        token occurrence is moved, and with a mapping within the broadcast bounds no posting either."""
+        table = (self.term_df.select("term")
+                 .join(mapping.select(F.col(term_col).alias("term"), F.col(mapped_col).alias("_m")).dropDuplicates(["term"]), "term", "left")
+                 .select("term", F.coalesce("_m", "term").alias("_m")).checkpoint(eager=True))
+        postings = (self.with_terms(table).groupBy("doc_id", F.col("_m").alias("term"))
+                    .agg(F.sum("tf").alias("tf"), F.max("dl").alias("dl")).select("doc_id", "term", "tf", "dl"))
+        return _derive(postings, self.doc_len)
+
     def by_term(self) -> tuple[DataFrame, list]:
         """(term, doc_id, tf, dl, chunk) sorted by term, one file a chunk, and (chunk, first, last) of each
         file in that order.  Written next to the index the first time.  A frequent term goes over as many

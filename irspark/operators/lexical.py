@@ -185,9 +185,8 @@ def tfidf_weights(index: Index) -> tuple[DataFrame, DataFrame]:
     def norms_of(ix):
         # postings x full-vocabulary idf, summed per document; corpus-level, so it is written once
         # next to the index.  With an idf table within the broadcast bound nothing is shuffled
-        # (postings are bucketed by doc_id); beyond it postings are joined by term, hot terms
-        # being split by AQE, and summed by document.
-        return (ix.postings.join(bounded_broadcast(idf), "term")
+        # (postings are bucketed by doc_id); beyond it only the postings of rarer terms are.
+        return (ix.with_terms(idf)
                 .groupBy("doc_id").agg(F.sqrt(F.sum((F.col("tf") * F.col("idf")) ** 2)).alias("dnorm")))
 
     return idf, index.derived("tfidf_norms", norms_of)
@@ -236,7 +235,7 @@ def bm25_term_weights(fitted: Index, docs: DataFrame | None = None, tokenizer=No
         p = fitted.postings.select("doc_id", "term", "tf")
     else:
         p = postings_from_tokens(tokenize(docs, "doc_id", "text", tokenizer)).select("doc_id", "term", "tf")
-    p = p.join(idf, "term")  # drops out-of-vocabulary terms
+    p = fitted.with_terms(idf, p)  # drops out-of-vocabulary terms
     dl = p.groupBy("doc_id").agg(F.sum("tf").alias("vdl"))
     p = p.join(dl, "doc_id")
     tf = F.col("tf").cast("double")
@@ -326,7 +325,7 @@ def _paragraph_vectors(paras: DataFrame, g: list[str], tokenizer, id_col: str) -
     src = paras.select(F.col(id_col).alias("doc_id"), "text", *[F.col(c).cast("string").alias("grp") for c in g])
     idx = build_index(src.select("doc_id", "text"), tokenizer)
     idf, norms = tfidf_weights(idx)
-    w = idx.postings.join(bounded_broadcast(idf), "term").join(norms, "doc_id")
+    w = idx.with_terms(idf).join(norms, "doc_id")
     v = w.groupBy("doc_id").agg(
         F.collect_list(F.struct("term", (F.col("tf") * F.col("idf") / F.col("dnorm")).alias("w"))).alias("v"),
         F.sort_array(F.collect_list(F.concat_ws(":", "term", F.col("tf").cast("string")))).alias("_counts"))

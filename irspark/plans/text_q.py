@@ -54,6 +54,25 @@ _SIMPLE_SQL = f"list_filter({WS.format(c=chr(39) + chr(39))}, lambda x: NOT list
 _SIMPLE = f"list_filter(list_filter(string_split_regex(translate(text, '{PUNCT_SQL}', ''), '\\s+'), lambda x: x <> ''), lambda x: NOT list_contains({SW_SQL}, x))"
 
 
+# Stop words by language: the words of at most three letters that more than one in five of its documents hold.
+_FREQ_SQL = f"""WITH t AS (SELECT doc_id, lang, {WS.format(c="coalesce(text, '')")} toks FROM documents),
+n AS (SELECT lang, count(*) n FROM t WHERE lang IS NOT NULL GROUP BY ALL),
+w AS (SELECT lang, w, count(*) c FROM (SELECT lang, unnest(list_distinct(toks)) w FROM t) GROUP BY ALL),
+sw AS (SELECT lang, list(w) l FROM w JOIN n USING (lang) WHERE c * 5 > n AND length(w) <= 3 GROUP BY lang),
+f AS (SELECT CAST(doc_id AS VARCHAR) doc_id, list_filter(toks, lambda x: NOT list_contains(coalesce(l, []), x)) t FROM t LEFT JOIN sw USING (lang))
+SELECT doc_id, CAST(len(t) AS BIGINT) n, md5(array_to_string(t, ' ')) h FROM f"""
+
+
+@register("remove_stopwords_by_language", _FREQ_SQL)
+def q_remove_stopwords_by_language(spark, sf):
+    """Each document loses the short words that are frequent in its own language, from a table."""
+    toks = fx.docs(spark, sf).select("doc_id", "lang", T.tok_whitespace(F.col("text")).alias("tokens"))
+    n = toks.where("lang IS NOT NULL").groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    counts = toks.select("lang", F.explode(F.array_distinct("tokens")).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("c"))
+    words = counts.join(n, "lang").where((F.col("c") * 5 > F.col("n")) & (F.length("word") <= 3)).select("lang", "word")
+    return _tok_out(T.remove_stopword_table(toks, words.checkpoint(eager=True), lang_col="lang"), F.col("tokens"))
+
+
 @register("tok_simple", _sql_tok(_SIMPLE))
 def q_tok_simple(spark, sf):
     d = fx.docs(spark, sf)
