@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..contracts import bounded_broadcast, id_str, literal_broadcast, require_columns, round6, text_or_empty
-from ..functions.text import bigrams, first_positions, resolve_tokenizer
+from ..functions.text import bigrams, first_positions, resolve_tokenizer, run_ends, run_lengths
 from .common import attach_scalars, top_k
 from .index import Index, postings_from_terms, postings_from_tokens, term_arrays, tokenize
 from .ranking import global_rank
@@ -115,8 +115,9 @@ def heaps(tokens: DataFrame, order_col: str, checkpoints: list[int], group_cols=
                             first_positions(tokens_col).alias("fp")).checkpoint(eager=True)
     dl = per_doc.select(id_col, order_col, *g, "dl")
     off = doc_offsets(dl, order_col, g).select(id_col, *g, "offset")
-    pos = per_doc.select(id_col, *g, F.inline("fp"))
-    first = (pos.join(off, [id_col, *g]).withColumn("gpos", F.col("offset") + F.col("pos"))
+    # documents meet their offset as one row each; their terms come out only then
+    pos = per_doc.select(id_col, *g, "fp").join(off, [id_col, *g]).select(*g, "offset", F.inline("fp"))
+    first = (pos.withColumn("gpos", F.col("offset") + F.col("pos"))
              .groupBy(*g, "term").agg(F.min("gpos").alias("first_pos")))
     arr = F.array(*[F.lit(c) for c in cps])
     # bucket = index of the first checkpoint c with first_pos < c
@@ -167,7 +168,7 @@ def characteristic_words(freq_by_group: DataFrame, group: str, k: int = 20) -> D
     tot = f.groupBy("term").agg(F.sum("freq").alias("a_w"))
     a0 = tot.agg(F.sum("a_w").alias("a0"))
     ng = f.groupBy(group).agg(F.sum("freq").alias("n_g"))
-    j = attach_scalars(f.join(tot, "term").join(F.broadcast(ng), group), a0)
+    j = attach_scalars(f.join(tot, "term").join(bounded_broadcast(ng), group), a0)
     y, aw, a0c, n = (F.col(x).cast("double") for x in ("freq", "a_w", "a0", "n_g"))
     yo, no = aw - y, a0c - n  # the rest of the corpus
     d = (F.log((y + aw) / (n + a0c - y - aw)) - F.log((yo + aw) / (no + a0c - yo - aw)))
@@ -180,10 +181,11 @@ def stylometry(tokens: DataFrame, stopwords, id_col: str = "doc_id", tokens_col:
     """Per document, computed in-row: type/token ratio, mean word length, stop-word share,
     hapax share (of types), repeated-bigram share (of bigram tokens)."""
     sw = F.array(*[F.lit(w) for w in sorted(set(stopwords))])
-    ta = term_arrays(tokens.select(id_col, tokens_col), id_col, tokens_col)
-    bg = term_arrays(tokens.select(id_col, bigrams(tokens_col).alias("_bg")), id_col, "_bg") \
-        .select(id_col, F.col("dl").alias("n_bigrams"), F.col("tc").alias("btc"))
-    t = tokens.select(id_col, tokens_col).join(ta, id_col).join(bg, id_col)
+    # one row all the way: counts of words and of bigrams side by side, step by step (see term_arrays)
+    t = tokens.select(id_col, tokens_col, F.size(tokens_col).cast("bigint").alias("dl"), F.sort_array(tokens_col).alias("_s"),
+                      F.sort_array(bigrams(tokens_col)).alias("_b"))
+    t = t.select(id_col, tokens_col, "dl", F.size("_b").cast("bigint").alias("n_bigrams"), run_ends("_s").alias("_e"), run_ends("_b").alias("_be"))
+    t = t.select(id_col, tokens_col, "dl", "n_bigrams", run_lengths("_e").alias("tc"), run_lengths("_be").alias("btc"))
     n = F.col("dl").cast("double")
     return t.select(
         id_col,

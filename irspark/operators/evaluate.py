@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..contracts import DEFAULT_METRICS, Measure, bounded_broadcast, id_str, parse_measure, require_columns
+from .common import top_k
 
 
 def normalize_qrels(qrels: DataFrame, keep=()) -> DataFrame:
@@ -47,7 +48,7 @@ def per_query_metrics(run: DataFrame, qrels: DataFrame, metrics=None, group_cols
     g = list(group_cols)
     require_columns(run, {"query_id", "doc_id", "score", *g}, "run_df")
     qr_keep = [c for c in g if c in qrels.columns]
-    q = normalize_qrels(qrels, qr_keep)
+    q = normalize_qrels(qrels, qr_keep).checkpoint(eager=True)   # counted, joined and ranked: its plan runs once
     r = run.select(*g, id_str("query_id").alias("query_id"), id_str("doc_id").alias("doc_id"),
                    F.col("score").cast("double").alias("score"))
 
@@ -56,11 +57,16 @@ def per_query_metrics(run: DataFrame, qrels: DataFrame, metrics=None, group_cols
     judged = r.join(qrels_b.select(*qr_keep, "query_id").distinct(), [*qr_keep, "query_id"], "left_semi")
     j = judged.join(qrels_b, [*qr_keep, "query_id", "doc_id"], "left")
     rel = F.coalesce(F.col("relevance"), F.lit(0))
-    w = Window.partitionBy(*g, "query_id").orderBy(F.col("score").desc(), F.col("doc_id").desc())
-    ranked = (j.withColumn("rel", rel)
+    by_score = [F.col("score").desc(), F.col("doc_id").desc()]
+    cutoffs = [m.cutoff for m in measures]
+    if cutoffs and None not in cutoffs:     # rows beyond every cutoff never leave their task
+        ranked = top_k(j, [*g, "query_id"], by_score, max(cutoffs), "rank")
+    else:
+        ranked = j.withColumn("rank", F.row_number().over(Window.partitionBy(*g, "query_id").orderBy(*by_score)))
+    upto = Window.partitionBy(*g, "query_id").orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (ranked.withColumn("rel", rel)
               .withColumn("isrel", (F.col("rel") >= 1).cast("int"))
-              .withColumn("rank", F.row_number().over(w))
-              .withColumn("cumrel", F.sum("isrel").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+              .withColumn("cumrel", F.sum("isrel").over(upto)))
     gain = F.greatest(F.col("rel"), F.lit(0)).cast("double")
     disc = F.log2(F.col("rank") + 1.0)
     aggs = []

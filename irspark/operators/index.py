@@ -141,11 +141,12 @@ class Index:
         wanted = sorted(r["term"] for r in found)
         return table.where(_term_filter(wanted, files)).drop("chunk")
 
-    def matching(self, side: DataFrame) -> DataFrame:
+    def matching(self, side: DataFrame, docs: DataFrame | None = None) -> DataFrame:
         """Postings joined on ``term`` with the rows of a query side (checkpointed by the caller), from
-        whichever copy of the postings the batch reads less of."""
+        whichever copy of the postings the batch reads less of; of the documents ``docs`` only if given."""
         some = self.lookup(side)
-        return (self.postings if some is None else some).join(side, "term")
+        some = self.postings if some is None else some
+        return (some if docs is None else some.join(docs, "doc_id", "left_semi")).join(side, "term")
 
 
 BY_TERM = "term string, doc_id string, tf bigint, dl bigint, chunk int"

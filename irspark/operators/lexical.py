@@ -15,6 +15,7 @@ from ..contracts import bounded_broadcast, id_str, require_columns, round6, text
 from .common import attach_scalars, ranked_run, top_k
 from .evaluate import evaluate_run
 from .index import Index, build_index, postings_from_tokens, tokenize
+from .ranking import global_rank
 
 RUN_SCHEMA = "query_id string, doc_id string, score double"
 
@@ -72,14 +73,32 @@ def bm25_query_side(index: Index, qterms: DataFrame, epsilon: float = 0.25) -> D
 
 
 def bm25_matched(index: Index, qterms: DataFrame, k1: float = 1.2, b: float = 0.75,
-                 epsilon: float = 0.25, q: DataFrame | None = None) -> DataFrame:
-    """(query_id, doc_id, term, contribution) for every posting that matches a query term."""
+                 epsilon: float = 0.25, q: DataFrame | None = None, docs: DataFrame | None = None) -> DataFrame:
+    """(query_id, doc_id, term, contribution) for every posting that matches a query term, of the documents
+    ``docs`` (doc_id) only if given."""
     q = bm25_query_side(index, qterms, epsilon) if q is None else q
-    m = attach_scalars(index.matching(q), index.stats.select("avgdl"))
+    some = index.matching(q) if docs is None else index.matching(q, docs)
+    m = attach_scalars(some, index.stats.select("avgdl"))
     contrib = F.col("qtf") * F.col("idf") * _bm25_tf_part(k1, b)
     return m.select("query_id", "doc_id", "term", contrib.alias("contribution"))
 
 
+def _first_unmatched(index: Index, ids: DataFrame, scores: DataFrame, k: int) -> DataFrame:
+    """(query_id, doc_id) of the first ``k`` documents, by id, that do not match each query of ``ids``.
+
+    Documents are numbered by id.  If the i-th match of a query has number p, p - i documents before it do not match;
+    so the first k without a match lie among the first k + c, c being the matches with p - i < k.  A query
+    gets no more rows than its matches and k."""
+    numbered = global_rank(index.doc_len.select("doc_id"), [], ["doc_id"], "_p").checkpoint(eager=True)
+    matched = scores.join(ids, "query_id", "left_semi").select("query_id", "doc_id").join(numbered, "doc_id").select("query_id", "_p")
+    matched = matched.checkpoint(eager=True)
+    i = F.row_number().over(Window.partitionBy("query_id").orderBy("_p"))
+    c = matched.select("query_id", (F.col("_p") - i < k).cast("int").alias("_in")).groupBy("query_id").agg(F.sum("_in").alias("_c"))
+    places = ids.join(c, "query_id", "left").select(
+        "query_id", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(k) + F.coalesce("_c", F.lit(0).cast("bigint")))).alias("_p"))
+    return places.join(matched, ["query_id", "_p"], "left_anti").join(numbered, "_p").select("query_id", "doc_id")
+
+
 def _fill_zero_docs(index: Index, queries_ids: DataFrame, top: DataFrame, k: int, scores: DataFrame) -> DataFrame:
     """Reference ranks every document, so a query with fewer than k matches is padded with
     score-0 documents (lowest doc ids first) up to min(k, N) rows.
@@ -90,8 +109,7 @@ def _fill_zero_docs(index: Index, queries_ids: DataFrame, top: DataFrame, k: int
     second top-k over at most |Q| x 3k rows.
 
     When the mean Okapi idf is negative, matches may score below the documents without a match.
-    A query with such a row in its top-k is padded from the first k + m doc ids, m being the
-    largest number of matches of such a query, minus all its matches (``scores``)."""
+    A query with such a row in its top-k is padded with its first k documents without a match."""
     counts = top.groupBy("query_id").agg(F.count(F.lit(1)).alias("m"))
     short = (queries_ids.join(counts, "query_id", "left")
              .filter(F.coalesce(F.col("m"), F.lit(0)) < k).select("query_id"))
@@ -103,10 +121,7 @@ def _fill_zero_docs(index: Index, queries_ids: DataFrame, top: DataFrame, k: int
     run = top.select("query_id", "doc_id", "score").unionByName(pad)
     below = top.filter(F.col("score") < 0).select("query_id").distinct().checkpoint(eager=True)
     if not below.isEmpty():
-        matched = scores.join(below, "query_id", "left_semi").select("query_id", "doc_id").checkpoint(eager=True)
-        most = matched.groupBy("query_id").agg(F.count(F.lit(1)).alias("m")).agg(F.max("m")).first()[0]
-        first = index.doc_len.select("doc_id").orderBy("doc_id").limit(k + most)
-        zeros = below.join(first).join(matched, ["query_id", "doc_id"], "left_anti").withColumn("score", F.lit(0.0))
+        zeros = _first_unmatched(index, below, scores, k).withColumn("score", F.lit(0.0))
         run = run.unionByName(top_k(zeros, ["query_id"], [F.col("doc_id").asc()], k, None)).distinct()
     return ranked_run(run, k)
 
@@ -139,8 +154,8 @@ def bm25_score_pairs(pairs: DataFrame, docs_or_index, tokenizer=None, k1: float
     p = pairs.withColumn("query_id", id_str("query_id")).withColumn("doc_id", id_str("doc_id"))
     qtext = p.groupBy("query_id").agg(F.min(query_text_col).alias("text"))
     qterms = query_terms(qtext, tokenizer)
-    m = bm25_matched(index, qterms, k1, b, epsilon)
-    keys = p.select("query_id", "doc_id").distinct()
+    keys = p.select("query_id", "doc_id").distinct().checkpoint(eager=True)
+    m = bm25_matched(index, qterms, k1, b, epsilon, docs=bounded_broadcast(keys.select("doc_id").distinct()))
     s = (m.join(keys, ["query_id", "doc_id"], "left_semi")
          .groupBy("query_id", "doc_id").agg(F.sum("contribution").alias(score_col)))
     return (p.drop(score_col).join(s, ["query_id", "doc_id"], "left")

@@ -17,9 +17,7 @@ FREQ = f"WITH d AS ({TOK}), f AS (SELECT term, CAST(count(*) AS BIGINT) freq FRO
 
 
 def _tokens(spark, sf):
-    d = fx.docs(spark, sf).join(fx.table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"),
-                                                                        F.col("doc_id").alias("doc_num")), "doc_id")
-    return d.select("doc_id", "doc_num", "source", "lang", T.tok_alnum(F.col("text")).alias("tokens"))
+    return fx.docs(spark, sf).select("doc_id", F.col("doc_id").cast("bigint").alias("doc_num"), "source", "lang", T.tok_alnum(F.col("text")).alias("tokens"))
 
 
 def _freq(spark, sf):

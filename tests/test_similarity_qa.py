@@ -72,3 +72,37 @@ def test_mixed_context_puts_golds_first(spark):
     qrels = spark.createDataFrame([("q", "3", 1), ("q", "2", 1), ("q", "1", 0)], "query_id string, doc_id string, relevance int")
     r = FU.build_context(run, docs, 2, sep="|", mode="mixed", qrels=qrels).first()
     assert (r["context"], r["n_passages"]) == ("t2|t3|t0", 3)
+
+
+def test_token_similarity_is_the_same_beyond_the_broadcast_bound(spark):
+    from irspark.contracts import BROADCAST_MAX_ROWS_CONF
+
+    rnd = random.Random(9)
+    words = [f"w{i}" for i in range(30)]
+    line = lambda: " ".join(rnd.choices(words, k=rnd.randint(0, 9)))
+    rows = [(str(i), line(), [line() if rnd.random() < 0.9 else None for _ in range(rnd.randint(0, 3))]) for i in range(60)]
+    df = spark.createDataFrame(rows + [("n", None, None)], "question_id string, prediction string, golds array<string>")
+    vectors = spark.createDataFrame([(w, [rnd.gauss(0, 1) for _ in range(4)]) for w in words[:27]], "term string, vec array<double>")
+    one = {r["question_id"]: r for r in Q.qa_token_similarity(df, vectors).collect()}
+    spark.conf.set(BROADCAST_MAX_ROWS_CONF, "0")
+    try:
+        two = {r["question_id"]: r for r in Q.qa_token_similarity(df, vectors).collect()}
+    finally:
+        spark.conf.unset(BROADCAST_MAX_ROWS_CONF)
+    assert set(one) == set(two) and len(one) == 61
+    for k in one:
+        assert [round(x, 9) for x in list(one[k])[1:]] == [round(x, 9) for x in list(two[k])[1:]], k
+
+
+def test_trained_vectors_tell_related_words_from_others(spark):
+    from irspark.functions.text import tok_whitespace
+    from irspark.operators.vector import embed_texts
+
+    rnd = random.Random(3)
+    topics = [[f"a{i}" for i in range(8)], [f"b{i}" for i in range(8)]]
+    docs = spark.createDataFrame([(str(i), " ".join(rnd.choices(topics[i % 2], k=20))) for i in range(300)], "doc_id string, text string")
+    model, _ = embed_texts(docs, tok_whitespace, dim=8, max_iter=8)
+    df = spark.createDataFrame([("same", "a1 a2", ["a1 a2"]), ("near", "a1 a2", ["a5 a6"]), ("far", "a1 a2", ["b5 b6"])],
+                               "question_id string, prediction string, golds array<string>")
+    f1 = {r["question_id"]: r["bertscore_f1"] for r in Q.qa_token_similarity(df, Q.word_vectors(model)).collect()}
+    assert f1["same"] > 0.999999 and f1["near"] > f1["far"] + 0.2
