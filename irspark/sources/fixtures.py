@@ -46,8 +46,8 @@ def containment_pairs(docs_df: DataFrame, patterns: DataFrame) -> DataFrame:
     postings of its rarest inner token name the candidates, and only those are compared.  Patterns
     of fewer than three tokens have none; they are compared with every document.
     """
+    index = build_index(docs_df)   # of the frame as it is given: the retrieval queries reuse this index
     docs_df = docs_df.select("doc_id", "text")
-    index = build_index(docs_df)
     pats = patterns.filter("text <> ''").select("query_id", F.col("text").alias("pattern"), tok_alnum(F.col("text")).alias("_t"))
     inner = pats.select("query_id", F.explode(F.array_distinct(F.slice("_t", F.lit(2), F.greatest(F.size("_t") - 2, F.lit(0))))).alias("term"))
     by = F.struct(F.coalesce("df", F.lit(0)).alias("df"), F.col("term").alias("t"))

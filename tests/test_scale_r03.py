@@ -51,3 +51,14 @@ def test_grid_is_not_multiplied_before_the_sum(spark):
         for r in lx.bm25_retrieve(index, queries, 5, k1=k1, b=b, fill=False).collect():
             want.setdefault(r["query_id"], []).append((-r["score"], r["doc_id"]))
         assert {q: sorted(rows) for (x, y, q), rows in got.items() if (x, y) == (k1, b)} == {q: sorted(rows) for q, rows in want.items()}
+
+
+def test_judgments_and_retrieval_share_one_index(spark):
+    from irspark.sources import fixtures as fx
+
+    d, q = fx.docs(spark, "/root/testdata/sf0.001"), fx.queries(spark, "/root/testdata/sf0.001")
+    build_index(d)
+    folder = os.path.join(spark.conf.get("spark.checkpoint.dir"), "irspark-indexes")
+    before = set(os.listdir(folder))
+    assert fx.containment_pairs(d, q).count() > 0
+    assert set(os.listdir(folder)) == before
