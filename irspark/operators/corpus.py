@@ -164,7 +164,7 @@ def bigram_assoc(big: DataFrame, uni: DataFrame, min_count: int = 5, stopwords=N
 def characteristic_words(freq_by_group: DataFrame, group: str, k: int = 20) -> DataFrame:
     """Log-odds ratio with an informative Dirichlet prior (the pooled counts), z-scored,
     each group against all the others; top-k words per group."""
-    f = freq_by_group
+    f = freq_by_group.checkpoint(eager=True)   # read four times; the texts behind it are counted once
     tot = f.groupBy("term").agg(F.sum("freq").alias("a_w"))
     a0 = tot.agg(F.sum("a_w").alias("a0"))
     ng = f.groupBy(group).agg(F.sum("freq").alias("n_g"))

@@ -62,3 +62,22 @@ def test_judgments_and_retrieval_share_one_index(spark):
     before = set(os.listdir(folder))
     assert fx.containment_pairs(d, q).count() > 0
     assert set(os.listdir(folder)) == before
+
+
+def test_texts_are_read_once_for_frequencies(spark):
+    rows = [(i, "en" if i % 2 else "de", f"w{i % 7}", 1 + i % 3) for i in range(60)]
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def through(n):
+        seen.add(1)
+        return n
+    f = (spark.createDataFrame(rows, "id int, lang string, term string, freq long").withColumn("freq", through("freq"))
+         .groupBy("lang", "term").agg(F.sum("freq").alias("freq")))
+    assert C.characteristic_words(f, "lang", 3).count() == 6
+    assert seen.value == 60
+    t = spark.createDataFrame([("a", "x", ["b", "cc", "b"]), ("b", "x", []), ("c", "y", ["d"]), ("d", "z", [])], "doc_id string, variant string, tokens array<string>")
+    t, seen = counted(spark, t)
+    got = {r["variant"]: r[1:] for r in C.corpus_stats_by(t).collect()}
+    assert seen.value < 10                                              # counting their tokens once more makes it ten
+    assert got == {"x": (2, 3, 1.5, 2, pytest.approx(4 / 3), 1.5), "y": (1, 1, 1.0, 1, 1.0, 1.0), "z": (1, 0, 0.0, None, None, None)}
