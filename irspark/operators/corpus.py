@@ -33,12 +33,14 @@ def corpus_stats_by(tokens: DataFrame, group: str = "variant", id_col: str = "do
     """Same six statistics per value of ``group`` (collection variant, source, ...)."""
     p = postings_from_tokens(tokens, id_col, tokens_col, keep=(group,))
     f = word_freq(p, [group]).withColumn("len", F.length("term"))
-    v = f.groupBy(group).agg(F.count(F.lit(1)).alias("n_types"),
+    v = f.groupBy(group).agg(F.count(F.lit(1)).alias("n_types"), F.sum("freq").alias("n_tokens"),
                              F.try_divide(F.sum(F.col("freq") * F.col("len")).cast("double"), F.sum("freq")).alias("avg_token_len"),
                              F.avg("len").alias("avg_type_len"))
-    d = tokens.groupBy(group).agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.size(tokens_col)).alias("n_tokens"))
+    # rows are counted without their tokens; the number of tokens is the sum of the frequencies
+    d = tokens.groupBy(group).agg(F.count(F.lit(1)).alias("n_docs"))
+    d = d.join(v, group, "left").withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0).cast("bigint")))
     d = d.withColumn("avg_doc_len", F.try_divide(F.col("n_tokens").cast("double"), F.col("n_docs")))
-    return d.join(v, group, "left")
+    return d.select(group, "n_docs", "n_tokens", "avg_doc_len", "n_types", "avg_token_len", "avg_type_len")
 
 
 def _words_df(spark, words) -> DataFrame:
