@@ -108,19 +108,36 @@ def heaps(tokens: DataFrame, order_col: str, checkpoints: list[int], group_cols=
     """Vocabulary size after n tokens, at each checkpoint n (documents in ``order_col``
     order, tokens in text order).  A term enters at its first global position; counts per
     checkpoint bucket are summed cumulatively over the (few) checkpoints."""
+    return heaps_by_orders(tokens, [order_col], checkpoints, group_cols, id_col, tokens_col)[0]
+
+
+def heaps_by_orders(tokens: DataFrame, order_cols: list[str], checkpoints: list[int], group_cols=(),
+                    id_col: str = "doc_id", tokens_col: str = "tokens") -> list[DataFrame]:
+    """``heaps`` for several orders of the same documents.  The texts are read once, and the terms of a
+    document come out once, with its offsets in all orders."""
     g = list(group_cols)
     cps = sorted({int(c) for c in checkpoints if int(c) > 0})
     # one pass over the texts: length and first position of each term inside its document
     # (computed in the document row: no token explode, no (doc, term) shuffle); checkpointed
     # so lengths, totals and positions do not tokenise again
-    per_doc = tokens.select(id_col, order_col, *g, F.size(tokens_col).alias("dl"),
+    per_doc = tokens.select(id_col, *order_cols, *g, F.size(tokens_col).alias("dl"),
                             first_positions(tokens_col).alias("fp")).checkpoint(eager=True)
-    dl = per_doc.select(id_col, order_col, *g, "dl")
-    off = doc_offsets(dl, order_col, g).select(id_col, *g, "offset")
-    # documents meet their offset as one row each; their terms come out only then
-    pos = per_doc.select(id_col, *g, "fp").join(off, [id_col, *g]).select(*g, "offset", F.inline("fp"))
-    first = (pos.withColumn("gpos", F.col("offset") + F.col("pos"))
-             .groupBy(*g, "term").agg(F.min("gpos").alias("first_pos")))
+    dl = per_doc.select(id_col, *order_cols, *g, "dl")
+    off = None
+    for i, order_col in enumerate(order_cols):
+        mine = doc_offsets(dl, order_col, g).select(id_col, *g, F.col("offset").alias(f"_o{i}"))
+        off = mine if off is None else off.join(mine, [id_col, *g])
+    # documents meet their offsets as one row each; their terms come out only then
+    pos = per_doc.select(id_col, *g, "fp").join(bounded_broadcast(off, checkpoint=True), [id_col, *g])
+    offsets = [f"_o{i}" for i in range(len(order_cols))]
+    first = (pos.select(*g, *offsets, F.inline("fp"))
+             .groupBy(*g, "term").agg(*[F.min(F.col(o) + F.col("pos")).alias(o) for o in offsets]))
+    first = first.checkpoint(eager=True) if len(offsets) > 1 else first
+    return [_heaps_curve(tokens, dl, first.select(*g, F.col(o).alias("first_pos")), cps, g) for o in offsets]
+
+
+def _heaps_curve(tokens: DataFrame, dl: DataFrame, first: DataFrame, cps: list[int], g: list[str]) -> DataFrame:
+    """The curve of each group from the first position of each of its terms."""
     arr = F.array(*[F.lit(c) for c in cps])
     # bucket = index of the first checkpoint c with first_pos < c
     first = first.withColumn("bucket", F.size(F.filter(arr, lambda c: c <= F.col("first_pos"))))

@@ -129,9 +129,8 @@ _VG_SQL = ("SELECT * FROM (" + _heaps_sql("source", "doc_num", "'original' doc_o
 def q_vocab_growth_by_group(spark, sf):
     """Heaps curves per source, documents in id order and in a seeded shuffled order."""
     t = _tokens(spark, sf).withColumn("shuf", F.md5(F.concat_ws("|", F.lit("42"), F.col("doc_id"))))
-    a = _heaps_out(C.heaps(t, "doc_num", _pow2(), ["source"]), ["source"]).withColumn("doc_order", F.lit("original"))
-    b = _heaps_out(C.heaps(t, "shuf", _pow2(), ["source"]), ["source"]).withColumn("doc_order", F.lit("shuffled"))
-    return a.unionByName(b)
+    a, b = (_heaps_out(h, ["source"]) for h in C.heaps_by_orders(t, ["doc_num", "shuf"], _pow2(), ["source"]))
+    return a.withColumn("doc_order", F.lit("original")).unionByName(b.withColumn("doc_order", F.lit("shuffled")))
 
 
 _BG = f"b AS (SELECT bigram, CAST(count(*) AS BIGINT) freq FROM (SELECT unnest(list_transform(range(1, len(toks)), lambda i: toks[i] || ' ' || toks[i + 1])) bigram FROM d) GROUP BY ALL)"

@@ -81,3 +81,13 @@ def test_texts_are_read_once_for_frequencies(spark):
     got = {r["variant"]: r[1:] for r in C.corpus_stats_by(t).collect()}
     assert seen.value < 10                                              # counting their tokens once more makes it ten
     assert got == {"x": (2, 3, 1.5, 2, pytest.approx(4 / 3), 1.5), "y": (1, 1, 1.0, 1, 1.0, 1.0), "z": (1, 0, 0.0, None, None, None)}
+
+
+def test_texts_are_read_once_for_curves_in_several_orders(spark):
+    rows = [(i, "s" + str(i % 2), t.split(), str(97 * i % 50)) for i, (_, t) in enumerate(texts(50))]
+    t = spark.createDataFrame(rows, "doc_id int, source string, tokens array<string>, shuf string")
+    one = [C.heaps(t, o, [4, 16, 64, 256], ["source"]).collect() for o in ("doc_id", "shuf")]
+    t, seen = counted(spark, t)
+    both = C.heaps_by_orders(t, ["doc_id", "shuf"], [4, 16, 64, 256], ["source"])
+    assert [sorted(b.collect()) for b in both] == [sorted(o) for o in one]
+    assert seen.value == 50
