@@ -91,3 +91,11 @@ def test_texts_are_read_once_for_curves_in_several_orders(spark):
     both = C.heaps_by_orders(t, ["doc_id", "shuf"], [4, 16, 64, 256], ["source"])
     assert [sorted(b.collect()) for b in both] == [sorted(o) for o in one]
     assert seen.value == 50
+
+
+def test_word_vectors_train_on_every_core(spark):
+    from irspark.operators.vector import embed_texts
+
+    model, v = embed_texts(spark.createDataFrame(texts(60), "doc_id string, text string"), dim=4, max_iter=1)
+    assert model.getNumPartitions() == min(64, spark.sparkContext.defaultParallelism) > 1
+    assert v.count() == 60
