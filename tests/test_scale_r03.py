@@ -99,3 +99,18 @@ def test_word_vectors_train_on_every_core(spark):
     model, v = embed_texts(spark.createDataFrame(texts(60), "doc_id string, text string"), dim=4, max_iter=1)
     assert model.getNumPartitions() == min(64, spark.sparkContext.defaultParallelism) > 1
     assert v.count() == 60
+
+
+def test_large_mapping_joins_only_rare_tokens(spark, monkeypatch):
+    monkeypatch.setattr(T, "HOT_FORMS", 2)
+    spark.conf.set("irspark.broadcast.maxRows", "0")
+    try:
+        df = spark.createDataFrame([("a", ["x", "y", "x"], 1), ("b", ["x", "rare"], 2), (None, ["y", "rare", None], 3), ("c", None, 4)],
+                                   "doc_id string, tokens array<string>, _l int")
+        mapping = spark.createDataFrame([("x", "X"), ("rare", "R"), ("y", "y")], "term string, mapped string")
+        out = T.normalize_terms(df, mapping)
+        assert {r["doc_id"]: (r["tokens"], r["_l"]) for r in out.collect()} == {
+            "a": (["X", "y", "X"], 1), "b": (["X", "R"], 2), None: (["y", "R", None], 3), "c": ([], 4)}
+        assert "LeftAnti, BuildRight" in plan(out)
+    finally:
+        spark.conf.unset("irspark.broadcast.maxRows")
