@@ -114,3 +114,14 @@ def test_large_mapping_joins_only_rare_tokens(spark, monkeypatch):
         assert "LeftAnti, BuildRight" in plan(out)
     finally:
         spark.conf.unset("irspark.broadcast.maxRows")
+
+
+def test_only_distinct_tokens_become_strings():
+    import pyarrow as pa
+
+    from irspark.operators.qa import _places
+
+    at, ends = _places(pa.array([["a", "b", "a"], None, ["z"], []]), {"a": 4, "b": 7})
+    assert at.tolist() == [4, 7, 4, -1] and ends.tolist() == [0, 3, 3, 4, 4]
+    at, ends = _places(pa.array([[], None], pa.list_(pa.string())), {})
+    assert at.tolist() == [] and ends.tolist() == [0, 0, 0]
