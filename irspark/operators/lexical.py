@@ -247,12 +247,13 @@ def bm25_term_weights(fitted: Index, docs: DataFrame | None = None, tokenizer=No
            .select("term", F.ln(1 + (F.col("n_docs") - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf"),
                    F.when(F.coalesce(F.col("avgdl"), F.lit(0.0)) > 0, F.col("avgdl")).otherwise(F.lit(1.0)).alias("avgdl")))
     if docs is None:
-        p = fitted.postings.select("doc_id", "term", "tf")
+        # the vocabulary holds every term of its own corpus: lengths are those of the index, whose bucketing both share
+        dl = fitted.doc_len.groupBy("doc_id").agg(F.sum("dl").alias("vdl"))
+        p = fitted.with_terms(idf, fitted.postings.select("doc_id", "term", "tf").join(dl, "doc_id"))
     else:
         p = postings_from_tokens(tokenize(docs, "doc_id", "text", tokenizer)).select("doc_id", "term", "tf")
-    p = fitted.with_terms(idf, p)  # drops out-of-vocabulary terms
-    dl = p.groupBy("doc_id").agg(F.sum("tf").alias("vdl"))
-    p = p.join(dl, "doc_id")
+        p = fitted.with_terms(idf, p)  # drops out-of-vocabulary terms
+        p = p.join(p.groupBy("doc_id").agg(F.sum("tf").alias("vdl")), "doc_id")
     tf = F.col("tf").cast("double")
     w = tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("vdl") / F.col("avgdl"))) * F.col("idf")
     return p.select("doc_id", "term", w.alias("weight"))

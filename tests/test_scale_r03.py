@@ -125,3 +125,19 @@ def test_only_distinct_tokens_become_strings():
     assert at.tolist() == [4, 7, 4, -1] and ends.tolist() == [0, 3, 3, 4, 4]
     at, ends = _places(pa.array([[], None], pa.list_(pa.string())), {})
     assert at.tolist() == [] and ends.tolist() == [0, 0, 0]
+
+
+def test_weights_of_a_corpus_read_its_postings_once(spark):
+    docs = spark.createDataFrame(texts(40) + [("0", "w1 w1 extra"), ("e", "")], "doc_id string, text string")
+    index = build_index(docs)
+    w = lx.bm25_term_weights(index)
+    assert plan(w).count("Generate inline") == 1
+    p = {(r["doc_id"], r["term"], r["tf"]) for r in index.postings.collect()}
+    assert w.count() == index.postings.count()
+    n, avg = 42, index.stats.first()["avgdl"]
+    df = {r["term"]: r["df"] for r in index.term_df.collect()}
+    length = {}
+    for d, t in texts(40) + [("0", "w1 w1 extra"), ("e", "")]:
+        length[d] = length.get(d, 0) + len(t.split())
+    want = sorted((d, t, round(tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length[d] / avg)) * math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)), 6)) for d, t, tf in p)
+    assert sorted(set((r["doc_id"], r["term"], round(r["weight"], 6)) for r in w.collect())) == sorted(set(want))
