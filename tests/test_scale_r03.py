@@ -141,3 +141,12 @@ def test_weights_of_a_corpus_read_its_postings_once(spark):
         length[d] = length.get(d, 0) + len(t.split())
     want = sorted((d, t, round(tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * length[d] / avg)) * math.log(1 + (n - df[t] + 0.5) / (df[t] + 0.5)), 6)) for d, t, tf in p)
     assert sorted(set((r["doc_id"], r["term"], round(r["weight"], 6)) for r in w.collect())) == sorted(set(want))
+
+
+def test_suffix_tree_keeps_contexts_of_one_in_five_thousand_tokens(spark):
+    from irspark.llm.suffix_tree import train_suffix_tree
+
+    rows = texts(500, length=80)
+    rows = [(int(d), t + (" rareleft rareright" if int(d) % 50 == 0 else "")) for d, t in rows]
+    model, _ = train_suffix_tree(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert model.tree.alphabet.symbol[b"rareleft"] in model.tree.contexts[1]
