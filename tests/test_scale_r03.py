@@ -143,6 +143,18 @@ def test_weights_of_a_corpus_read_its_postings_once(spark):
     assert sorted(set((r["doc_id"], r["term"], round(r["weight"], 6)) for r in w.collect())) == sorted(set(want))
 
 
+def test_toxicity_learns_from_rows_beyond_the_start(spark):
+    from irspark.llm.toxicity import train_toxicity
+
+    rows = [(i, f"l{i % 30}", ("foul " if i % 2 else "kind ") + f"w{i % 9} own{i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(2)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(300)], "doc_id long, toxic int")
+    model = train_toxicity(docs, labels, max_rows=12)
+    assert model.languages == sorted({f"l{i}" for i in range(30)})
+    total = np.exp(model.word_log.astype(float)).min(axis=0)             # 0.1 / (0.1 a bucket and all words)
+    assert np.allclose(0.1 / total - 6553.6, 30, atol=0.5)               # 10 rows of 3 words: all of them
+
+
 def test_suffix_tree_keeps_contexts_of_one_in_five_thousand_tokens(spark):
     from irspark.llm.suffix_tree import train_suffix_tree
 
