@@ -167,6 +167,21 @@ def test_mixture_is_the_best_of_a_fine_grid():
     assert abs(share[0] - grid[int(np.argmax(like))]) < 0.02
 
 
+def test_suffix_tree_gathers_only_retained_contexts(spark, monkeypatch):
+    rows = [(i, " ".join(f"w{(i * 7 + j * j) % 40}" for j in range(60)), None) for i in range(120)]
+    gathered = []
+    whole = type(documents(spark, rows[:1])).toArrow
+    monkeypatch.setattr(type(documents(spark, rows[:1])), "toArrow",
+                        lambda df: gathered.append((df.columns, whole(df))) or gathered[-1][1])
+    monkeypatch.setattr(type(documents(spark, rows[:1])), "toPandas", lambda df: pytest.fail("counts went to the driver"))
+    model, _ = suffix_tree.train_suffix_tree(documents(spark, rows), least_word=1e-4, least_symbol=1e-3, least_context=1e-3)
+    trees = [t for names, t in gathered if "log_p" in names]
+    assert [len(t) for t in trees] == [len(c) for c in model.tree.contexts[1:]] and len(model.tree.contexts[1]) > 5
+    for k in (1, 2):
+        assert (np.diff(model.tree.contexts[k]) > 0).all() and (np.diff(model.tree.keys[k]) > 0).all()
+        assert len(model.tree.keys[k]) == len(model.tree.log_p[k])
+
+
 def test_suffix_tree_against_brute_force(spark):
     rng = random.Random(6)
     values = [" ".join(rng.choice(EN if rng.random() < 0.9 else DE) for _ in range(30)) for _ in range(80)]
