@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..contracts import round6
+from ..contracts import bounded_broadcast, round6
 from ..functions import text as T
 from ..operators import corpus as C
 from ..operators import lexical as lx
@@ -256,6 +256,17 @@ def q_ltr_rerank_eval(spark, sf):
     return done.metrics.select("method", *[round6(F.col(f"`{c}`")).alias(c) for c in ("P@10", "nDCG@20")])
 
 
+def _match_sums(idx, q, run):
+    """Sums over the matching terms of each (query, document) of the run.  Only postings of its pairs are summed,
+    so no other pair is ever shuffled."""
+    m = (idx.matching(q, bounded_broadcast(run.select("doc_id").distinct()))
+         .join(bounded_broadcast(run.select("query_id", "doc_id").distinct()), ["query_id", "doc_id"], "left_semi"))
+    return m.groupBy("query_id", "doc_id").agg(F.sum(F.col("qtf") * F.col("tf")).alias("sum_tf"),
+                                               F.sum(F.col("qtf") * F.col("idf")).alias("sum_idf"),
+                                               F.sum(F.col("qtf") * F.col("tf") * F.col("idf")).alias("sum_tfidf"),
+                                               F.max("dl").alias("dl"))
+
+
 @register("reconstruct_bm25")
 def q_reconstruct_bm25(spark, sf):
     """Learn the BM25 score from per-pair aggregates of term frequency, idf and document
@@ -265,13 +276,9 @@ def q_reconstruct_bm25(spark, sf):
     idx = lx.build_index(docs)
     qt = lx.query_terms(qs)
     q = lx.bm25_query_side(idx, qt)
-    m = idx.matching(q)
-    agg = m.groupBy("query_id", "doc_id").agg(F.sum(F.col("qtf") * F.col("tf")).alias("sum_tf"),
-                                              F.sum(F.col("qtf") * F.col("idf")).alias("sum_idf"),
-                                              F.sum(F.col("qtf") * F.col("tf") * F.col("idf")).alias("sum_tfidf"),
-                                              F.max("dl").alias("dl"))
-    run = lx.bm25_retrieve(idx, qs, 20)
-    x = run.join(agg, ["query_id", "doc_id"]).withColumnRenamed("score", "relevance")
+    run = lx.bm25_retrieve(idx, qs, 20).checkpoint(eager=True)
+    agg = _match_sums(idx, q, run)
+    x = run.join(agg, ["query_id", "doc_id"]).withColumnRenamed("score", "relevance").checkpoint(eager=True)   # split and fitted
     cols = ["sum_tf", "sum_idf", "sum_tfidf", "dl"]
     train, held, _ = L.group_split(x, "query_id", 0.7, 42)
     model = L.fit_linear_ranker(L.assemble(train, cols))

@@ -162,3 +162,20 @@ def test_suffix_tree_keeps_contexts_of_one_in_five_thousand_tokens(spark):
     rows = [(int(d), t + (" rareleft rareright" if int(d) % 50 == 0 else "")) for d, t in rows]
     model, _ = train_suffix_tree(spark.createDataFrame(rows, "doc_id long, text string"))
     assert model.tree.alphabet.symbol[b"rareleft"] in model.tree.contexts[1]
+
+
+def test_match_sums_are_of_the_run_only(spark):
+    from irspark.plans import ltr_q
+
+    docs = spark.createDataFrame(texts(200), "doc_id string, text string")
+    queries = spark.createDataFrame([("q1", "w1 w2 w2 w9"), ("q2", "w30 w0"), ("q3", "zzz"), (None, "w3")], "query_id string, text string")
+    index = build_index(docs)
+    q = lx.bm25_query_side(index, lx.query_terms(queries))
+    run = lx.bm25_retrieve(index, queries, 5).checkpoint(eager=True)
+    got = {(r["query_id"], r["doc_id"]): r for r in ltr_q._match_sums(index, q, run).collect()}
+    top = {(r["query_id"], r["doc_id"]) for r in run.where("score <> 0").collect() if r["query_id"]}
+    assert set(got) == top and len(top) == 10
+    words = {i: t.split() for i, t in texts(200)}
+    for (name, doc), r in got.items():
+        own = {"q1": "w1 w2 w2 w9", "q2": "w30 w0"}[name].split()
+        assert r["sum_tf"] == sum(words[doc].count(w) for w in own) and r["dl"] == len(words[doc])
