@@ -179,3 +179,16 @@ def test_match_sums_are_of_the_run_only(spark):
     for (name, doc), r in got.items():
         own = {"q1": "w1 w2 w2 w9", "q2": "w30 w0"}[name].split()
         assert r["sum_tf"] == sum(words[doc].count(w) for w in own) and r["dl"] == len(words[doc])
+
+
+def test_answers_are_normalised_once(spark):
+    from irspark.operators import qa
+
+    rows = [("a", "The cat, sat", ["cat sat", "a dog"]), ("b", "", [""]), ("c", None, ["x"]), ("d", "x x y", ["x y y", None]), ("e", "x", []), ("f", "x", None)]
+    df = spark.createDataFrame(rows, "question_id string, prediction string, golds array<string>")
+    out = qa.score_answers(df)
+    assert plan(out).count("a|an|the") <= 4                             # prediction and golds, and the plan's repeats
+    got = {r["question_id"]: (r["squad_em"], round(r["squad_f1"], 6), r["em_loose"], r["em_strict"]) for r in out.collect()}
+    assert got == {"a": (1.0, 1.0, 1.0, 0.0), "b": (1.0, 1.0, 1.0, 1.0), "c": (0.0, 0.0, 0.0, 0.0),
+                   "d": (0.0, 0.666667, 1.0, 0.0), "e": (0.0, 0.0, 0.0, 0.0), "f": (0.0, 0.0, 0.0, 0.0)}
+    assert out.columns == ["question_id", "prediction", "golds", "squad_f1", "squad_em", "em_loose", "em_strict"]
