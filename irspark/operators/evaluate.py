@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from ..contracts import DEFAULT_METRICS, Measure, bounded_broadcast, id_str, parse_measure, require_columns
 from .common import top_k
 
+IDEAL_BLOCK = 4096       # ranks of the ideal order that one row sums up
+
 
 def normalize_qrels(qrels: DataFrame, keep=()) -> DataFrame:
     """(query_id, doc_id, relevance INT); ``score`` is accepted when ``relevance`` is absent.
@@ -48,14 +50,20 @@ def per_query_metrics(run: DataFrame, qrels: DataFrame, metrics=None, group_cols
     g = list(group_cols)
     require_columns(run, {"query_id", "doc_id", "score", *g}, "run_df")
     qr_keep = [c for c in g if c in qrels.columns]
-    q = normalize_qrels(qrels, qr_keep).checkpoint(eager=True)   # counted, joined and ranked: its plan runs once
+    q = normalize_qrels(qrels, qr_keep)
     r = run.select(*g, id_str("query_id").alias("query_id"), id_str("doc_id").alias("doc_id"),
-                   F.col("score").cast("double").alias("score"))
-
-    # only queries that have judgments matter; the qrels side is size-checked before broadcast
-    qrels_b = bounded_broadcast(q)
-    judged = r.join(qrels_b.select(*qr_keep, "query_id").distinct(), [*qr_keep, "query_id"], "left_semi")
-    j = judged.join(qrels_b, [*qr_keep, "query_id", "doc_id"], "left")
+                   F.col("score").cast("double").alias("score")).checkpoint(eager=True)
+
+    # The judgments are read once and counted by query and relevance; by document too only where the run has it.
+    keys = [*qr_keep, "query_id"]
+    asked = bounded_broadcast(r.select(*keys, "doc_id").distinct().withColumn("_asked", F.lit(True)), checkpoint=True)
+    seen = (q.join(asked, [*keys, "doc_id"], "left")
+            .groupBy(*keys, "relevance", F.when(F.col("_asked"), F.col("doc_id")).alias("_doc"))
+            .agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True))
+    pairs = (seen.where("_doc IS NOT NULL")                      # a judgment given twice counts twice
+             .select(*keys, F.col("_doc").alias("doc_id"), "relevance", F.explode(F.array_repeat(F.lit(0), F.col("_n").cast("int"))).alias("_i")).drop("_i"))
+    judged = r.join(bounded_broadcast(seen.select(*keys).distinct()), keys, "left_semi")
+    j = judged.join(bounded_broadcast(pairs), [*keys, "doc_id"], "left")
     rel = F.coalesce(F.col("relevance"), F.lit(0))
     by_score = [F.col("score").desc(), F.col("doc_id").desc()]
     cutoffs = [m.cutoff for m in measures]
@@ -87,16 +95,25 @@ def per_query_metrics(run: DataFrame, qrels: DataFrame, metrics=None, group_cols
             aggs.append(F.sum(F.when(cut, F.col("isrel")).otherwise(0)).alias("_rec_" + m.name))
     runq = ranked.groupBy(*g, "query_id").agg(*aggs)
 
-    # ideal side: per query number relevant and ideal DCG at each cutoff
-    iw = Window.partitionBy(*qr_keep, "query_id").orderBy(F.col("relevance").desc())
-    iq = q.withColumn("irank", F.row_number().over(iw))
-    igain = F.greatest(F.col("relevance"), F.lit(0)).cast("double") / F.log2(F.col("irank") + 1.0)
-    iaggs = [F.sum((F.col("relevance") >= 1).cast("int")).alias("_nrel")]
+    # ideal side: per query number relevant and ideal DCG at each cutoff, from the number of judgments by relevance
+    counts = seen.groupBy(*keys, "relevance").agg(F.sum("_n").alias("_n"))
+    above = Window.partitionBy(*keys).orderBy(F.col("relevance").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(above), F.lit(0).cast("bigint")))
+    cuts = [m.cutoff for m in measures if m.kind == "nDCG"]
+    last = F.col("_before") + F.col("_n")
+    last = F.least(last, F.lit(max(cuts, default=0)).cast("bigint")) if None not in cuts else last
+    # ranks of one relevance, in blocks, as far as a measure looks
+    counts = (counts.withColumn("_last", F.when(F.col("relevance") > 0, last).otherwise(F.col("_before")))
+              .withColumn("_from", F.explode(F.sequence(F.col("_before"), F.greatest(F.col("_last") - 1, F.col("_before")), F.lit(IDEAL_BLOCK).cast("bigint")))))
+    iaggs = [F.sum(F.when(F.col("_from") == F.col("_before"), (F.col("relevance") >= 1).cast("int") * F.col("_n"))).alias("_nrel")]
     for m in measures:
         if m.kind == "nDCG":
-            cut = (F.col("irank") <= m.cutoff) if m.cutoff is not None else F.lit(True)
-            iaggs.append(F.sum(F.when(cut, igain).otherwise(0.0)).alias("_idcg_" + m.name))
-    ideal = iq.groupBy(*qr_keep, "query_id").agg(*iaggs)
+            upto = F.least(F.col("_last"), F.col("_from") + IDEAL_BLOCK)
+            upto = upto if m.cutoff is None else F.least(upto, F.lit(m.cutoff).cast("bigint"))
+            dcg = F.aggregate(F.sequence(F.col("_from") + 1, upto), F.lit(0.0),
+                              lambda s, i: s + F.col("relevance").cast("double") / F.log2(i + 1.0))
+            iaggs.append(F.sum(F.when(upto > F.col("_from"), dcg).otherwise(0.0)).alias("_idcg_" + m.name))
+    ideal = counts.groupBy(*keys).agg(*iaggs)
 
     # every (group, judged query): groups come from the run, queries from the qrels
     if missing_as_zero:
