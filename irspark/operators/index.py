@@ -22,10 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import fits_broadcast, id_str, require_columns, text_or_empty
-from ..functions.text import resolve_tokenizer, run_ends, run_lengths
+from ..functions.text import least_count, resolve_tokenizer, run_ends, run_lengths
 
 
 BUCKET_BYTES = 256 << 20   # input bytes per bucket of the forward index
+PIECE_BYTES = 16 << 20     # input bytes per task where a task holds what it counts
 CHUNK_POSTINGS = 4 << 20   # postings per file of the copy clustered by term
 ROW_GROUP_BYTES = 8 << 20  # and bytes of its row groups, whose statistics say which terms they hold
 MAX_LOOKUP_TERMS = 1 << 16  # terms of a query batch that the driver looks up in the file bounds
@@ -79,14 +80,15 @@ class Index:
     def with_terms(self, table: DataFrame, postings: DataFrame | None = None) -> DataFrame:
         """Postings (or other rows with a ``term``) joined with a table of the vocabulary on ``term``.
 
-        A table within the broadcast bounds is broadcast.  Beyond them the terms that hold more than one in
-        HOT_TERMS of all postings, fewer than HOT_TERMS terms, are joined by broadcast and all others by
-        shuffle, so that no partition gathers the postings of a frequent term."""
+        A table within the broadcast bounds is broadcast.  Beyond them the most frequent terms, as many as a
+        broadcast takes (see ``least_count``) and any that holds more than one in HOT_TERMS of all postings, are
+        joined by broadcast.  Only the postings of all others, the rare ones, are shuffled."""
         rows = self.postings if postings is None else postings
         if fits_broadcast(table):
             return rows.join(F.broadcast(table), "term")
+        least = least_count(self.term_df.select(F.col("term").alias("_t"), F.col("df").alias("_n")))
         hot = (self.term_df.crossJoin(F.broadcast(self.stats.select("n_postings")))
-               .where(F.col("df") * HOT_TERMS > F.col("n_postings")).select("term").checkpoint(eager=True))
+               .where((F.col("df") >= least) | (F.col("df") * HOT_TERMS > F.col("n_postings"))).select("term").checkpoint(eager=True))
         hot = F.broadcast(hot)
         few = table.join(hot, "term", "left_semi").checkpoint(eager=True)
         return (rows.join(F.broadcast(few), "term")
@@ -266,6 +268,12 @@ def bucket_count(docs: DataFrame) -> int:
                spark.sparkContext.defaultParallelism)
 
 
+def piece_count(df: DataFrame) -> int:
+    """Tasks that read about PIECE_BYTES of input files each, but one per core at least."""
+    size = sum(n for _, n, _ in input_files(df))
+    return max(-(-size // PIECE_BYTES), df.sparkSession.sparkContext.defaultParallelism)
+
+
 def index_key(docs: DataFrame, tokenizer, id_col: str, text_col: str) -> str | None:
     """Reuse key: the documents' logical plan (``semanticHash``), their input files (name,
     length and modification time, so rewritten files give a new index) and the tokenizer."""

@@ -181,6 +181,26 @@ def test_match_sums_are_of_the_run_only(spark):
         assert r["sum_tf"] == sum(words[doc].count(w) for w in own) and r["dl"] == len(words[doc])
 
 
+def test_only_rare_postings_are_shuffled_for_a_large_vocabulary(spark, monkeypatch):
+    from irspark.operators import index as ix
+
+    docs = spark.createDataFrame([(d, t + f" own{d}") for d, t in texts(300)], "doc_id string, text string")
+    index = build_index(docs)
+    idf, _ = lx.tfidf_weights(index)
+    rows = lambda: sorted(map(tuple, index.with_terms(idf).select("doc_id", "term", "tf", "idf").collect()))
+    want, sizes, broadcast = rows(), [], F.broadcast
+    monkeypatch.setattr(T, "HOT_FORMS", 60)
+    monkeypatch.setattr(ix, "HOT_TERMS", 1)                              # no term holds that share
+    monkeypatch.setattr(F, "broadcast", lambda df: sizes.append(df.count()) or broadcast(df))
+    spark.conf.set("irspark.broadcast.maxRows", "100")                  # of 340 terms, 300 of them in one document
+    try:
+        assert rows() == want
+    finally:
+        spark.conf.unset("irspark.broadcast.maxRows")
+    frequent = index.term_df.where("df > 2").count()
+    assert frequent > 30 and sizes.count(frequent) >= 2                  # the terms and their rows of the table
+
+
 def test_judgments_are_read_once_and_counted(spark, monkeypatch):
     from irspark.operators import evaluate
 
