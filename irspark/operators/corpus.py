@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..contracts import bounded_broadcast, id_str, literal_broadcast, require_columns, round6, text_or_empty
 from ..functions.text import bigrams, first_positions, resolve_tokenizer, run_ends, run_lengths
 from .common import attach_scalars, top_k
-from .index import Index, postings_from_terms, postings_from_tokens, term_arrays, tokenize
+from .index import Index, piece_count, postings_from_terms, postings_from_tokens, term_arrays, tokenize
 from .ranking import global_rank
 
 
@@ -157,9 +157,14 @@ def _heaps_curve(tokens: DataFrame, dl: DataFrame, first: DataFrame, cps: list[i
 
 
 def bigram_freq(tokens: DataFrame, tokens_col: str = "tokens", group_cols=()) -> DataFrame:
-    """(group..., bigram, freq): adjacent pairs per document, counted map-side first."""
-    return (tokens.select(*group_cols, F.explode(bigrams(tokens_col)).alias("bigram"))
-            .groupBy(*group_cols, "bigram").agg(F.count(F.lit(1)).alias("freq")))
+    """(group..., bigram, freq): adjacent pairs counted per document first, so that a frequent pair sends a row a
+    document at most.  Tasks grow in number with the input files, not in what they hold."""
+    n = piece_count(tokens)
+    rows = tokens.select(*group_cols, tokens_col)
+    rows = rows.repartition(n) if rows.rdd.getNumPartitions() < n else rows
+    rows = rows.select(*group_cols, F.sort_array(bigrams(tokens_col)).alias("_s")).select(*group_cols, run_ends("_s").alias("_e"))
+    rows = rows.select(*group_cols, F.inline(run_lengths("_e"))).withColumnRenamed("term", "bigram")
+    return rows.repartition(n, *group_cols, "bigram").groupBy(*group_cols, "bigram").agg(F.sum("tf").alias("freq"))
 
 
 def bigram_assoc(big: DataFrame, uni: DataFrame, min_count: int = 5, stopwords=None) -> DataFrame:

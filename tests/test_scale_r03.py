@@ -181,6 +181,24 @@ def test_match_sums_are_of_the_run_only(spark):
         assert r["sum_tf"] == sum(words[doc].count(w) for w in own) and r["dl"] == len(words[doc])
 
 
+def test_bigrams_are_combined_per_document_and_dealt_by_input(spark, monkeypatch):
+    from irspark.operators import corpus, index
+
+    folder = spark.conf.get("spark.checkpoint.dir") + "/bigram-texts"
+    spark.createDataFrame(texts(400) + [("n", None), ("one", "w1")], "doc_id string, text string").write.mode("overwrite").parquet(folder)
+    tokens = spark.read.parquet(folder).select("doc_id", T.tok_alnum(F.col("text")).alias("tokens"))
+    monkeypatch.setattr(index, "PIECE_BYTES", 256)
+    n = index.piece_count(tokens)
+    assert n > 2 * spark.sparkContext.defaultParallelism                # the tasks grow with the files
+    out = corpus.bigram_freq(tokens)
+    assert out.rdd.getNumPartitions() == n and plan(out).count(f"{n}") >= 2
+    want = {}
+    for _, t in texts(400):
+        for pair in zip(t.split(), t.split()[1:]):
+            want[" ".join(pair)] = want.get(" ".join(pair), 0) + 1
+    assert {r["bigram"]: r["freq"] for r in out.collect()} == want
+
+
 def test_only_rare_postings_are_shuffled_for_a_large_vocabulary(spark, monkeypatch):
     from irspark.operators import index as ix
 
