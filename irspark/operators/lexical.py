@@ -257,7 +257,7 @@ def bm25_term_weights(fitted: Index, docs: DataFrame | None = None, tokenizer=No
     else:
         p = postings_from_tokens(tokenize(docs, "doc_id", "text", tokenizer)).select("doc_id", "term", "tf")
         p = fitted.with_terms(idf, p)  # drops out-of-vocabulary terms
-        p = p.join(p.groupBy("doc_id").agg(F.sum("tf").alias("vdl")), "doc_id")
+        p = p.join(bounded_broadcast(p.groupBy("doc_id").agg(F.sum("tf").alias("vdl")), checkpoint=True), "doc_id")
     tf = F.col("tf").cast("double")
     w = tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("vdl") / F.col("avgdl"))) * F.col("idf")
     return p.select("doc_id", "term", w.alias("weight"))
@@ -273,6 +273,9 @@ def bm25_pair_features(pairs: DataFrame, fitted: Index, tokenizer=None, k1: floa
     qsub = p.groupBy("query_id").agg(F.min(query_text_col).alias("text"))
     dw = bm25_term_weights(fitted, dsub, tokenizer, k1, b)
     qt = query_terms(qsub, tokenizer).join(fitted.term_df.select("term"), "term", "left_semi")
+    qt = qt.checkpoint(eager=True)
+    # lengths are counted by now: only the weights of the queries' terms go on to their pairs
+    dw = dw.join(bounded_broadcast(qt.select("term").distinct()), "term", "left_semi")
     keys = p.select("query_id", "doc_id").distinct()
     return (keys.join(qt, "query_id").join(dw, ["doc_id", "term"])
             .select("query_id", "doc_id", "term", (F.col("weight") * F.col("qtf")).alias("value")))

@@ -118,7 +118,7 @@ def ltr_experiment(docs: DataFrame, queries: DataFrame, qrels: DataFrame, depth:
     weights of a pair's shared terms as sparse columns to the linear scorer.  The key column is
     ``method``; 'bm25' is the order before and 'hash' an order that knows nothing.  ``details`` has the split (query_id, split)."""
     _checked(docs, queries, qrels)
-    cands = bm25_candidates(docs, queries, depth, tokenizer)
+    cands = bm25_candidates(docs, queries, depth, tokenizer).checkpoint(eager=True)   # for features of both kinds
     rows, names = ltr.add_ltr_features(cands, tokenizer=tokenizer)
     rows = ltr.add_relevance_labels(rows, qrels).drop("query_text", "doc_text").checkpoint(eager=True)
     cols = ltr.bm25_feature_columns(rows) + names

@@ -83,3 +83,19 @@ def test_tune_bm25_picks_the_first_best(spark):
     k1, b, table = lx.tune_bm25(docs, queries, qrels, grid, "nDCG@10", 10)
     rows = sorted(table.collect(), key=lambda r: (-r["nDCG@10"], r["k1"], r["b"]))
     assert len(rows) == 4 and (k1, b) == (rows[0]["k1"], rows[0]["b"])
+
+
+def test_ltr_experiment_joins_the_candidates_once(spark, monkeypatch):
+    """Dense and sparse features read the written candidates; retrieval and document texts are not joined again."""
+    docs, queries, qrels = collection(spark)
+
+    class Seen(Exception):
+        pass
+
+    def stop(pairs, *_):
+        raise Seen(pairs._jdf.queryExecution().optimizedPlan().toString())
+
+    monkeypatch.setattr(PL, "bm25_pair_features", stop)
+    with pytest.raises(Seen) as seen:
+        PL.ltr_experiment(docs, queries, qrels, depth=15, methods=("pairwise_sparse",))
+    assert "Join" not in str(seen.value)
