@@ -28,16 +28,27 @@ def corpus_stats(index: Index) -> DataFrame:
     return attach_scalars(s, v).drop("n_tok_v")
 
 
-def corpus_stats_by(tokens: DataFrame, group: str = "variant", id_col: str = "doc_id",
-                    tokens_col: str = "tokens") -> DataFrame:
-    """Same six statistics per value of ``group`` (collection variant, source, ...)."""
-    p = postings_from_tokens(tokens, id_col, tokens_col, keep=(group,))
-    f = word_freq(p, [group]).withColumn("len", F.length("term"))
+def token_freq(tokens: DataFrame, group_cols=(), tokens_col: str = "tokens", count_col: str | None = None) -> DataFrame:
+    """(group..., term, freq) of all tokens, or of each row's tokens ``count_col`` times.  Only the collection counts
+    are asked for, so the tokens of a row are neither sorted nor counted by row; partial sums before the shuffle."""
+    one = F.lit(1) if count_col is None else F.col(count_col)
+    # of ``explode`` Spark would infer a filter that makes the tokens a second time
+    e = tokens.select(*group_cols, one.cast("bigint").alias("_n"), F.explode_outer(tokens_col).alias("term")).where("term IS NOT NULL")
+    return e.groupBy(*group_cols, "term").agg(F.sum("_n").alias("freq"))
+
+
+def corpus_stats_by(tokens: DataFrame, group: str = "variant", id_col: str = "doc_id", tokens_col: str = "tokens",
+                    count_col: str | None = None, docs: DataFrame | None = None) -> DataFrame:
+    """Same six statistics per value of ``group`` (collection variant, source, ...).
+
+    Where the groups are made from terms alone, ``tokens`` may be rows of the vocabulary, whose tokens count
+    ``count_col`` times; the documents of each group are then the rows of ``docs``."""
+    f = token_freq(tokens, [group], tokens_col, count_col).withColumn("len", F.length("term"))
     v = f.groupBy(group).agg(F.count(F.lit(1)).alias("n_types"), F.sum("freq").alias("n_tokens"),
                              F.try_divide(F.sum(F.col("freq") * F.col("len")).cast("double"), F.sum("freq")).alias("avg_token_len"),
                              F.avg("len").alias("avg_type_len"))
     # rows are counted without their tokens; the number of tokens is the sum of the frequencies
-    d = tokens.groupBy(group).agg(F.count(F.lit(1)).alias("n_docs"))
+    d = (tokens if docs is None else docs).groupBy(group).agg(F.count(F.lit(1)).alias("n_docs"))
     d = d.join(v, group, "left").withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0).cast("bigint")))
     d = d.withColumn("avg_doc_len", F.try_divide(F.col("n_tokens").cast("double"), F.col("n_docs")))
     return d.select(group, "n_docs", "n_tokens", "avg_doc_len", "n_types", "avg_token_len", "avg_type_len")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..contracts import round6
@@ -48,11 +51,14 @@ SELECT variant, CAST(n_docs AS BIGINT) n_docs, CAST(n_tokens AS BIGINT) n_tokens
 
 @register("corpus_stats_by_variant", _VARIANTS_SQL)
 def q_corpus_stats_by_variant(spark, sf):
+    """The texts are tokenised and counted once; a variant is a rule on terms, so it is made from the vocabulary."""
     t = _tokens(spark, sf).select("doc_id", "tokens")
-    v = (t.withColumn("variant", F.lit("original"))
-         .unionByName(t.select("doc_id", F.transform("tokens", T.suffix_stem).alias("tokens")).withColumn("variant", F.lit("stemmed")))
-         .unionByName(t.select("doc_id", T.remove_stopwords("tokens", fx.STOPWORDS).alias("tokens")).withColumn("variant", F.lit("no_stopwords"))))
-    s = C.corpus_stats_by(v, "variant")
+    w = C.token_freq(t).checkpoint(eager=True).select(F.array("term").alias("tokens"), "freq")
+    variants = {"original": F.col("tokens"), "stemmed": F.transform("tokens", T.suffix_stem),
+                "no_stopwords": T.remove_stopwords("tokens", fx.STOPWORDS)}
+    v = reduce(DataFrame.unionByName, [w.select(F.lit(n).alias("variant"), c.alias("tokens"), "freq") for n, c in variants.items()])
+    docs = t.select(F.explode(F.array(*map(F.lit, variants))).alias("variant"))
+    s = C.corpus_stats_by(v, "variant", count_col="freq", docs=docs)
     return s.select("variant", "n_docs", "n_tokens", round6("avg_doc_len").alias("avg_doc_len"), "n_types",
                     round6("avg_token_len").alias("avg_token_len"), round6("avg_type_len").alias("avg_type_len"))
 
