@@ -5,6 +5,8 @@ transformed text), so whole texts are compared exactly."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -115,6 +117,14 @@ def lemma_rule(c):
     return F.regexp_replace(F.regexp_replace(c, "ies$", "y"), "([^s])s$", "$1")
 
 
+_IES_END, _S_END = re.compile(r"ies$"), re.compile(r"([^s])s$")
+
+
+def lemma_of(word: str) -> str:
+    """``lemma_rule`` of a token."""
+    return _S_END.sub(r"\1", _IES_END.sub("y", word))
+
+
 @register("normalize_terms_lemma", _sql_tok(f"list_transform({_SIMPLE}, lambda w: regexp_replace(regexp_replace(w, 'ies$', 'y'), '([^s])s$', '\\1'))"))
 def q_normalize_terms_lemma(spark, sf):
     """Same vocabulary job as the stem variant with a lemma-style mapping table."""

@@ -55,3 +55,79 @@ def test_statistics_of_counted_terms(spark):
     got = {r["variant"]: r[1:] for r in C.corpus_stats_by(t, count_col="n", docs=docs).collect()}
     assert got == {"x": (2, 3, 1.5, 2, pytest.approx(4 / 3), 1.5), "y": (1, 1, 1.0, 1, 1.0, 1.0), "z": (1, 0, 0.0, None, None, None)}
     assert Counter({r["term"]: r["freq"] for r in C.token_freq(t).collect()}) == Counter("b cc d".split())
+
+
+def indexed(spark, tmp_path, values, tokenizer):
+    from irspark.operators.index import build_index
+
+    rows = [(None if i == 3 else str(i), t) for i, t in enumerate(values)]
+    spark.createDataFrame(rows, "doc_id string, text string").repartition(3).write.parquet(f"{tmp_path}/d")
+    return build_index(spark.read.parquet(f"{tmp_path}/d"), tokenizer)
+
+
+def test_tokens_are_counted_in_the_workers_as_by_the_columns(spark, tmp_path):
+    from irspark.operators.index import term_arrays, tokenize
+    from irspark.plans.retrieval_q import lemma_tok, stem_tok
+
+    values = texts(30)
+    docs = spark.createDataFrame([(None if i == 3 else str(i), t) for i, t in enumerate(values)], "doc_id string, text string")
+    flat = lambda df: sorted((str(r["doc_id"]), r["dl"], sorted((x["term"], x["tf"]) for x in r["tc"] or [])) for r in df.collect())
+    for k, tok in enumerate([T.tok_alnum, T.tok_whitespace, stem_tok, lemma_tok]):
+        (tmp_path / str(k)).mkdir()
+        index = indexed(spark, tmp_path / str(k), values, tok)
+        assert flat(index.rows) == flat(term_arrays(tokenize(docs, "doc_id", "text", tok)))
+
+
+def test_texts_are_read_once_for_all_variants(spark, tmp_path, monkeypatch):
+    from irspark.operators import index as ix
+    from irspark.operators import lexical as lx
+    from irspark.plans.retrieval_q import VARIANTS
+
+    rows = [(str(i), t) for i, t in enumerate(texts(60))]
+    spark.createDataFrame(rows, "doc_id string, text string").write.parquet(f"{tmp_path}/d")
+    queries = spark.createDataFrame([("a", "w1s w2 the needing"), ("b", "w30 cities"), (None, "w3"), ("z", "nowhere")], "query_id string, text string")
+    read, count = [], ix.counted_terms
+    monkeypatch.setattr(ix, "counted_terms", lambda *a: read.append(1) or count(*a))
+    monkeypatch.setattr(ix.Index, "by_term", lambda self: pytest.fail("a copy for one batch"))
+    for retriever in (lx.bm25_retrieve, lx.tfidf_retrieve):               # the second one finds all indexes written
+        got = lx.run_variants(spark.read.parquet(f"{tmp_path}/d"), queries, VARIANTS, 5, retriever).collect()
+        assert {r["variant"] for r in got} == set(VARIANTS)
+    written = [n for n in VARIANTS if hasattr(VARIANTS[n], "_irspark_base")]
+    assert len(read) == 1 and len(written) == 2
+
+
+def test_block_sums_equal_the_joined_ones(spark, tmp_path, monkeypatch):
+    from irspark.operators import lexical as lx
+    from irspark.operators import scoring
+
+    values = texts(300) + texts(40, seed=1)                                   # copies tie
+    values += ["the common " * 3] * 20
+    docs = indexed(spark, tmp_path, values, None)
+    rng = random.Random(3)
+    queries = [(f"q{i}", " ".join(rng.choice(values[i:i + 40][0].split()) for _ in range(9)) + " the of w1") for i in range(30)]
+    queries = spark.createDataFrame(queries + [(None, "w3 the"), ("none", "nowhere"), ("empty", None), ("q1", "w2 of")], "query_id string, text string")
+    blocks = []
+    whole = lx.best_sums
+    monkeypatch.setattr(lx, "best_sums", lambda *a: blocks.append(1) or whole(*a))
+    monkeypatch.setattr(scoring, "CELLS", 700)
+    for retriever in (lx.bm25_retrieve, lx.tfidf_retrieve):
+        for k in (4, 1000):
+            blocks.clear()
+            got = sorted(map(str, retriever(docs, queries, k).collect()))
+            assert blocks
+            monkeypatch.setattr(lx, "fits_blocks", lambda *a: False)
+            assert got == sorted(map(str, retriever(docs, queries, k).collect()))
+            monkeypatch.setattr(lx, "fits_blocks", scoring.fits_blocks)
+
+
+def test_repeated_ids_are_joined_as_before(spark, tmp_path):
+    from irspark.operators import lexical as lx
+    from irspark.operators.scoring import fits_blocks
+
+    rows = [("a", "x y"), ("a", "x z"), ("b", "y y")]
+    spark.createDataFrame(rows, "doc_id string, text string").write.parquet(f"{tmp_path}/d")
+    index = lx.build_index(spark.read.parquet(f"{tmp_path}/d"))
+    side = spark.createDataFrame([("q", "x", 1.0)], "query_id string, term string, value double")
+    assert not fits_blocks(index, side)
+    run = lx.bm25_retrieve(index, spark.createDataFrame([("q", "x")], "query_id string, text string"), 5, fill=False)
+    assert [r["doc_id"] for r in run.collect()] == ["a"]
