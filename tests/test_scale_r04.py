@@ -131,3 +131,31 @@ def test_repeated_ids_are_joined_as_before(spark, tmp_path):
     assert not fits_blocks(index, side)
     run = lx.bm25_retrieve(index, spark.createDataFrame([("q", "x")], "query_id string, text string"), 5, fill=False)
     assert [r["doc_id"] for r in run.collect()] == ["a"]
+
+
+@pytest.mark.parametrize("scope", ["within", "across"])
+def test_block_pairs_are_dealt_in_rounds(spark, monkeypatch, scope):
+    from irspark.operators import lexical as lx
+    from irspark.operators import pairs as P
+
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(f"p{i:03d}", " ".join(rng.choices(words, k=rng.randint(1, 12))), f"g{i % 3 if i % 5 else 0}") for i in range(140)]
+    df = spark.createDataFrame(rows, "para_id string, text string, src string")
+    whole = sorted(map(str, lx.similar_pairs(df, 3, group_col="src", scope=scope).collect()))
+    monkeypatch.setattr(P, "BLOCK_ROWS", 20)
+    monkeypatch.setattr(P, "ROUND_BYTES", 20_000)
+    monkeypatch.setattr(P, "CORE_BYTES", 0)
+    copies, made, dealt = [], [], P._round
+
+    def counted(blocks, *run):
+        out = dealt(blocks, *run).checkpoint(eager=True)
+        sizes = [F.sum(F.size(f"{s}_t") * 8 + F.size(f"{s}_ids") * 64) for s in "lr"]
+        copies.append(sum(x or 0 for x in out.agg(*sizes).first()))
+        made.append(out.count())
+        return out
+    monkeypatch.setattr(P, "_round", counted)
+    assert sorted(map(str, lx.similar_pairs(df, 3, group_col="src", scope=scope).collect())) == whole
+    assert len(copies) > 2 and max(copies) < 30_000 and sum(copies) > 30_000     # at once, as before, it would be the sum
+    parts = [7] if scope == "across" else [4, 2, 2]                           # blocks of each zone
+    assert sum(made) == sum(n * (n + 1) // 2 for n in parts)
