@@ -17,10 +17,10 @@ from .common import arrow_batches, first_of_ties
 
 MOST_QUERIES = 4096     # beyond it the rows of a slice would be few
 MOST_ENTRIES = 1 << 20  # (query, term) weights that go to the workers
-CELLS = 1 << 20         # scores that a task holds at once
-PRODUCTS = 1 << 20      # products of postings that it expands at once
+CELLS = 1 << 19         # scores that a task holds at once
+PRODUCTS = 1 << 19      # products of postings that it expands at once
 DENSE_SHARE = 1 / 32    # terms of so many of a slice's documents are multiplied as a dense matrix
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 RUN_SCHEMA = "query_id string, doc_id string, score double"
 
 
